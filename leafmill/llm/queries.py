@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import sharding, simhash, token_files
+from leafmill.llm import decontaminate, quality, secrets, sharding, simhash, token_files
 from leafmill.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -15,6 +15,18 @@ def op1_simhash_bk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("items")
+
+
+def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(read(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+def op5_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(read(spark, sf_dir, "documents"))
+
+
 def op6_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -23,6 +35,6 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffled_shards(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op6_arrow_token_files, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op10_feistel_shards)}
 
 ORACLES: dict[str, str] = {}
