@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontaminate, quality, secrets, sharding, simhash, token_files
+from leafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, token_files, toxicity
 from leafmill.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_simhash_bk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +32,18 @@ def op6_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffled_shards(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op7_toxic_segments, op9_chunked_bpe, op10_feistel_shards)}
 
 ORACLES: dict[str, str] = {}
