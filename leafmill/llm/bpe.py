@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import map_arrow
+from leafmill.llm.common import extended, map_arrow
 
 CHUNK = 65_536
 OVERLAP = 1_024
@@ -105,9 +105,7 @@ def digests(ids: np.ndarray, decoded: bytes) -> tuple[int, str, str]:
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs; with ids, also the ids as an array."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    if ids:
-        schema = schema.add("ids", "array<int>")
+    schema = extended(docs.select("doc_id").schema, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
 
     def row(doc_ids, found: list[np.ndarray]) -> dict:
         e = encoding(ranks_path, pattern)
@@ -146,6 +144,6 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK,
     long = long.select("row", "doc_id", "text", F.explode(F.sequence(F.lit(0), F.ceil(size / chunk).cast("int") - 1)).alias("k"))
     begin = F.greatest(F.lit(0), F.col("k") * chunk - overlap)
     long = long.select("row", "doc_id", "k", begin.alias("begin"), F.substring("text", begin + 1, (F.col("k") + 1) * chunk + overlap - begin).alias("text"))
-    chunked = map_arrow(long.repartition("row", "k"), cut, long.schema.add("ends", "binary").add("counts", "binary").add("ids", "binary"))
+    chunked = map_arrow(long.repartition("row", "k"), cut, extended(long.schema, "ends binary, counts binary, ids binary"))
     whole = chunked.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("k", "begin", "text", "ends", "counts", "ids")).alias("chunks")).select("doc_id", "chunks")
     return map_arrow(rows.where(size <= chunk), short, schema).union(map_arrow(whole, joined, schema))

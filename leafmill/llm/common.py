@@ -65,6 +65,11 @@ def map_arrow(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: T.S
     return df.mapInArrow(run, schema)
 
 
+def extended(schema: T.StructType, more: str) -> T.StructType:
+    """A copy of schema with further columns."""
+    return T.StructType([*schema.fields, *T._parse_datatype_string(more).fields])
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, (pa.Array, pa.ChunkedArray)):
         values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values

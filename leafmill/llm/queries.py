@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, token_files, toxicity
+from leafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, suffix_repeats, token_files, toxicity
 from leafmill.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,6 +20,10 @@ def op2_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op3_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.without_repeats(read(spark, sf_dir, "documents")).drop("removed")
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -44,6 +48,6 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffled_shards(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op7_toxic_segments, op9_chunked_bpe, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op3_suffix_array_repeats, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op7_toxic_segments, op9_chunked_bpe, op10_feistel_shards)}
 
 ORACLES: dict[str, str] = {}

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import map_arrow, materialise
+from leafmill.llm.common import extended, map_arrow, materialise
 
 SHARDS = 8
 KEY = 20_240_601
@@ -93,6 +93,6 @@ def shuffled_shards(docs: DataFrame, shards: int = SHARDS, key: int = KEY) -> Da
         p = permuted(batch.column(3).to_numpy(), total, key)
         return {c: batch.column(i) for i, c in enumerate(("doc_id", "size", "text_crc32"))} | {"shard": p % shards, "slot": p // shards}
 
-    schema = placed.select("doc_id", "size", "text_crc32").schema.add("shard", "integer").add("slot", "long")
+    schema = extended(placed.select("doc_id", "size", "text_crc32").schema, "shard int, slot long")
     done = map_arrow(placed.select("doc_id", "size", "text_crc32", "row_number"), out, schema)
     return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
