@@ -3,7 +3,7 @@
 Documents are put in ascending order (doc_id, then a hash of the text, then the text), encoded with the tokenizers library,
 and each is closed by an end id. A task writes two files in the Arrow stream format for its range of documents:
 
-* ids: rows of two fixed-size lists, `ids` (uint32) and `mask` (uint8), `length` entries each. The range's ids follow one
+* ids: rows of two fixed-size lists, `ids` (uint16 where the vocabulary allows, else uint32) and `mask` (bits), `length` entries each. The range's ids follow one
   another through the rows; the last row is filled up with zeros whose mask is 0. All record batches but the last
   have `batch_rows` rows, so a reader that maps the file finds sequence k by arithmetic, and without a copy.
 * index: doc_id, begin (in the file's ids), n_tokens.
@@ -113,9 +113,10 @@ def library_encoder(path: str) -> UnitEncoder:
 class FileWriter:
     """Streams ids into rows of fixed-size lists."""
 
-    def __init__(self, sink, length: int, batch_rows: int) -> None:
+    def __init__(self, sink, length: int, batch_rows: int, most: int) -> None:
         self.length, self.size = length, length * batch_rows
-        self.schema = pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.kind = np.dtype("<u2" if most < 1 << 16 else "<u4")
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(self.kind), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.out = pa.ipc.new_stream(sink, self.schema)
         self.held, self.n, self.total = [], 0, 0
 
@@ -131,12 +132,11 @@ class FileWriter:
             self.held, self.n = [joined[full * 4 :]], self.n - full
 
     def write(self, ids: np.ndarray) -> None:
+        ids = ids.astype(self.kind)
         rows = -(-len(ids) // self.length)
         pad = rows * self.length - len(ids)
-        mask = np.ones(len(ids) + pad, np.uint8)
-        if pad:
-            mask[-pad:] = 0
-            ids = np.concatenate([ids, np.zeros(pad, "<u4")])
+        mask = np.arange(len(ids) + pad) < len(ids)
+        ids = np.pad(ids, (0, pad))
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.out.write_batch(pa.record_batch(lists, schema=self.schema))
 
@@ -156,11 +156,11 @@ class SequenceFile:
         self.rows_per_batch = self.batches[0].num_rows if self.batches else 1
         self.length = self.batches[0].schema.field("ids").type.list_size if self.batches else 1
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence k."""
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of sequence k, both views."""
         batch, row = divmod(k, self.rows_per_batch)
-        a = row * self.length
-        return tuple(self.batches[batch].column(c).values.slice(a, self.length).to_numpy() for c in (0, 1))
+        ids, mask = (self.batches[batch].column(c).values.slice(row * self.length, self.length) for c in (0, 1))
+        return ids.to_numpy(), mask
 
     def slices(self, begin: int, n: int) -> Iterator[np.ndarray]:
         """The ids from begin on, n of them, as views batch by batch."""
@@ -184,13 +184,14 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = END_ID, length:
 
         part = TaskContext.get().partitionId()
         encode, end = library_encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        most = encode.tokenizer.get_vocab_size() - 1
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         names = [f"{root}/{kind}-{part:06d}.arrows" for kind in ("ids", "index")]
         spare = [f"{n}.{uuid.uuid4().hex}" for n in names]
         n_docs = 0
         with store.open_output_stream(spare[0]) as a, store.open_output_stream(spare[1]) as b:
-            ids, index = FileWriter(a, length, batch_rows), None
+            ids, index = FileWriter(a, length, batch_rows, max(end_id, most)), None
             for batch in batches:
                 done, counts = encode(batch.column(1).to_pylist()), []
                 begin = ids.total
@@ -235,7 +236,7 @@ def read_tokens(spark, folder: str, files: list[tuple[int, int, int]], doc_type)
                         for a, k in zip(begin.tolist(), n.tolist()):
                             c = 0
                             for view in data.slices(a, k):
-                                c = zlib.crc32(view, c)
+                                c = zlib.crc32(view.astype("<u4"), c)
                             crc.append(c)
                         yield pa.record_batch([rows.column(0), pa.array(begin + start), rows.column(2), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
