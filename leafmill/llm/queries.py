@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, suffix_repeats, token_files, toxicity
+from leafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, suffix_repeats, token_files, toxicity, unit_dedup
 from leafmill.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_unit_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.deduplicated(read(spark, sf_dir, "documents")).drop("text")
+
+
 def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -48,6 +52,6 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffled_shards(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op3_suffix_array_repeats, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op7_toxic_segments, op9_chunked_bpe, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op3_suffix_array_repeats, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op7_toxic_segments, op8_unit_hashing, op9_chunked_bpe, op10_feistel_shards)}
 
 ORACLES: dict[str, str] = {}
