@@ -1,4 +1,30 @@
-"""All queries of the reference's operators and their SQL."""
+"""All queries of the reference's operators: the same plan of operators over synthetic documents, as Spark queries and as SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from leafmill.functions.dialect import DUCK, SPARK, chain
+from leafmill.plans import extraction
+
+PLANS: dict[str, Callable] = {**extraction.PLANS}
+
+TABLE = re.compile(r"\{(\w+)\}")
+
+
+def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A plan as a query over the Parquet tables of a folder; only the tables that it names are opened."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        text = chain(SPARK, *plan(SPARK))
+        return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(TABLE.findall(text))})
+
+    run.__doc__ = plan.__doc__
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query(plan) for name, plan in PLANS.items()}
+ORACLES: dict[str, str] = {name: chain(DUCK, *plan(DUCK)) for name, plan in PLANS.items()}
