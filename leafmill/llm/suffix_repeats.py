@@ -9,9 +9,9 @@ buckets, and each repeat is found whole in some bucket:
    context is what n-byte strings with this anchor can cover: n - k bytes before its gram and n from its start.
 2. Contexts are counted by 128 bits of digest (combined before the shuffle). A context that occurs twice or more is
    repeated throughout. Grams with one occurrence are done.
-3. Where a gram has different contexts, one copy of each is fetched. A task builds the enhanced suffix array of a bucket's contexts, a
-   stack scan visits the intervals of its common-prefix tree from n bytes on, and an interval whose occurrences differ in the byte
-   before is a maximal repeat group, with all its occurrences.
+3. Where a gram has different contexts, one copy of each is fetched. A task builds enhanced suffix arrays of a bucket's contexts, a
+   stack scan visits the intervals of their common-prefix trees, and sorting an interval's occurrences by the bytes before them tests
+   how they extend to the left: that gives the maximal repeat groups, each with all its occurrences.
 4. A gram with more than `bucket` contexts is split into blocks, each with its own array. Starts that a block leaves open
    are compared across blocks by digests of their strings: first strings that stand for `STEP` starts each, then,
    where those repeat, the starts themselves.
@@ -37,7 +37,7 @@ from leafmill.llm.common import as_array, extended, map_arrow, materialise, piec
 
 LENGTH = 200
 GRAM = 40
-BUCKET = 256
+BUCKET = 1024
 STEP = 40
 #: Positions that one pass of the anchor search covers; with the overlap fewer than 2 ** 20.
 PASS = 1 << 19
@@ -124,61 +124,53 @@ def anchor_rows(docs: DataFrame, n: int, k: int) -> DataFrame:
     return map_arrow(source, rows, schema)
 
 
-def candidates(texts: list[bytes], lefts: list[int], n: int, step: int = STEP) -> list[list[int]]:
-    """Starts in each text that an n-byte repeat can have: those of which a part, at the same place before the gram, is in two texts."""
-    size, seen = n - step + 1, {}
-    places = []
-    for x, left in zip(texts, lefts):
-        first = -(-(-left) // step) * step
-        own = [(s, x[s + left : s + left + size]) for s in range(first, -(-(len(x) - n - left) // step) * step + 1, step)]
-        places.append(own)
-        for y in own:
-            seen[y] = seen.get(y, 0) + 1
-    out = []
-    for x, left, own in zip(texts, lefts, places):
-        out.append([s for y in own if seen[y] > 1 for s in range(max(0, y[0] - step + 1 + left), min(len(x) - n, y[0] + left) + 1)])
-    return out
-
-
-def maximal_repeats(texts: list[bytes], n: int, starts: list | None = None, lefts: list[int] | None = None) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """Maximal repeat groups of n bytes or more: length, and all occurrences (text, start).
-
-    An enhanced suffix array of the texts' suffixes of n bytes or more, its common-prefix lengths, and a stack scan over
-    the intervals of the tree; an interval whose occurrences all have one byte before them extends to the left and is left out.
-    With starts, only those suffixes of each text are in the array. With lefts (bytes before the gram that the texts share), only
-    suffixes at one place from the gram are compared: neighbouring contexts of a document overlap, and a place is no repeat of itself.
-    """
-    starts = starts or [range(len(x) - n + 1) for x in texts]
-    suffixes = sorted((s - lefts[i] if lefts else 0, x[s:], i, s) for i, x in enumerate(texts) for s in starts[i])
-    if len(suffixes) < 2:
-        return
-
-    def common(x: tuple, y: tuple) -> int:
-        a, b = x[1], y[1]
-        if x[0] != y[0] or a[:n] != b[:n]:
-            return 0
-        low, high = n, min(len(a), len(b))
-        while low < high:
-            mid = (low + high + 1) // 2
-            low, high = (mid, high) if a[:mid] == b[:mid] else (low, mid - 1)
-        return low
-
-    def before(x: tuple) -> int:
-        return texts[x[2]][x[3] - 1] if x[3] else -1
-
-    stack: list[tuple[int, int]] = [(0, 0)]  # common prefix, first suffix
+def common(a: bytes, b: bytes, least: int = 0) -> int:
+    """Length of the common prefix; 0 if it is below least."""
+    if a[:least] != b[:least]:
+        return 0
+    low, high = least, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
+def prefix_intervals(suffixes: list[bytes], least: int) -> Iterator[tuple[int, int, int]]:
+    """Intervals (length, first, past the last) of the common-prefix tree of sorted suffixes, from length least on, by a stack scan."""
+    stack: list[tuple[int, int]] = [(0, 0)]
     for r in range(1, len(suffixes) + 1):
-        lcp = common(suffixes[r - 1], suffixes[r]) if r < len(suffixes) else 0
+        lcp = common(suffixes[r - 1], suffixes[r], least) if r < len(suffixes) else 0
         left = r - 1
         while stack[-1][0] > lcp:
             length, left = stack.pop()
-            lefts = {before(x) for x in suffixes[left:r]}
-            if len(lefts) > 1 or -1 in lefts:
-                yield length, [(i, s) for _, _, i, s in suffixes[left:r]]
+            yield length, left, r
         if lcp > stack[-1][0]:
             stack.append((lcp, left))
 
 
+def maximal_repeats(texts: list[bytes], lefts: list[int], n: int, step: int = STEP) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """Maximal repeat groups of n bytes or more in texts that share a gram lefts bytes from their starts: for each, its end from the gram's start
+    and its occurrences (text, start from the gram's start).
+
+    Suffixes are compared at one place from the gram only: neighbouring contexts of a document overlap, and a place is no repeat of itself.
+    An enhanced suffix array of the suffixes at every step-th place serves step starts: an interval of its tree from n - step + 1 bytes on is a group
+    with one right extension, and sorting its members by the bytes before them, read backwards, gives how far each extends to the left
+    with another. The group is a maximal repeat for the members whose extensions together reach n bytes.
+    """
+    for place in range(-(max(lefts) // step) * step, 1, step):
+        own = sorted((x[place + left :], i) for i, (x, left) in enumerate(zip(texts, lefts)) if place + left >= 0 and len(x) - place - left > n - step)
+        if len(own) < 2:
+            continue
+        before = {i: texts[i][max(0, place + lefts[i] - step + 1) : place + lefts[i]][::-1] for _, i in own}
+        for length, a, b in prefix_intervals([x for x, _ in own], n - step + 1):
+            members = sorted((before[i], i) for _, i in own[a:b])
+            shared = [0, *(common(x, y) for (x, _), (y, _) in zip(members, members[1:])), 0]
+            if length + max(shared) < n:
+                continue
+            reach = [max(shared[k], shared[k + 1]) for k in range(len(members))]
+            yield place + length, [(i, place - e) for (_, i), e in zip(members, reach) if length + e >= n]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -225,21 +217,19 @@ def solve(rows: DataFrame, n: int) -> DataFrame:
         # copies of a context (of a repeated row) are one
         held = list({h[2]: h for h in held}.values())
         spans: list[list[tuple[int, int]]] = [[] for _ in held]
-        starts: list[list[tuple[int, int]]] = [[] for _ in held]
         if len(held) > 1:
             texts, lefts = [h[6] for h in held], [h[5] for h in held]
-            for length, places in maximal_repeats(texts, n, candidates(texts, lefts, n), lefts):
-                for i, s in places:
-                    spans[i].append((s, s + length))
-                    starts[i].append((s, s + length - n + 1))
-        for (g, _, c, many, blocks, left, x), own, done in zip(held, spans, starts):
-            rest, at = [], 0
+            for end, places in maximal_repeats(texts, lefts, n):
+                for i, start in places:
+                    spans[i].append((start, end))
+        for (g, _, c, many, blocks, left, x), own in zip(held, spans):
+            rest, at = [], -left
             if blocks > 1 and not many:
-                for a, b in [*merged(done), (len(x) - n + 1, 0)]:
+                for a, b in [*merged([(a, b - n + 1) for a, b in own]), (len(x) - n + 1 - left, 0)]:
                     if at < a:
                         rest.append((at, a))
                     at = b
-            cover = [] if many else [(a - left, b - left) for a, b in merged(own)]
+            cover = [] if many else merged(own)
             if cover or blocks > 1:
                 yield g, c, [{"a": a, "b": b} for a, b in cover], [{"a": a, "b": b} for a, b in rest], left, x if blocks > 1 else None
 
@@ -269,10 +259,8 @@ def across_blocks(split: DataFrame, n: int) -> DataFrame:
     only, those starts are settled. The others are compared one by one.
     """
     ranges = "array<struct<a:int,b:int>>"
-    # places are counted from the gram's start, where equal strings of one gram agree
-    shifted = F.transform("open", lambda r: F.struct((r["a"] - F.col("left")).alias("a"), (r["b"] - F.col("left")).alias("b")))
     whole = F.array(F.struct((-F.col("left")).alias("a"), (F.octet_length("x") - n + 1 - F.col("left")).alias("b")))
-    rows = split.select("g", "c", "left", "x", shifted.cast(ranges).alias("open"), whole.cast(ranges).alias("all"))
+    rows = split.select("g", "c", "left", "x", "open", whole.cast(ranges).alias("all"))
 
     def strings(frame: DataFrame, where: str, size: int, step: int) -> DataFrame:
         """g, c, s, h1, h2 of the strings of size bytes that stand for the starts in a column of ranges."""
