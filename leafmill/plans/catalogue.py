@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leafmill.functions.dialect import DUCK, SPARK, chain
-from leafmill.plans import extraction, records
+from leafmill.operators import matching
+from leafmill.plans import extraction, records, synth
 from leafmill.sources.tables import written
 
 PLANS: dict[str, Callable] = {**extraction.PLANS, **records.PLANS}
@@ -63,5 +64,17 @@ def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def near_duplicate_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of samples of different suggested identities that look alike."""
+    return matching.near_duplicate_identities(query(records.risky)(spark, sf_dir))
+
+
+def fuzzy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page items with the field that their text labels."""
+    return matching.labelled_items(query(lambda d: [*extraction.scans(d), ("items", synth.page_items(d, "sample"))])(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query(plan) for name, plan in PLANS.items()}
+#: Gestalt similarity has no SQL; tests hold these two against the standard library.
+QUERIES |= {f.__name__: f for f in (near_duplicate_identities, fuzzy_labels)}
 ORACLES: dict[str, str] = {name: chain(DUCK, *plan(DUCK)) for name, plan in PLANS.items()}
