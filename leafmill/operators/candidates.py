@@ -10,7 +10,7 @@ from leafmill.functions.dialect import operator
 def field_candidates(d, items):
     """The best value item for each label item of a page: position near the label, confidence and order; labels are known by kind."""
     score = f"{S.field_score(d, 'a', 'b')} + {d.num(2.3)} + greatest(b.confidence, cast(0 as double)) - case when b.confidence < {d.num(0.35)} then {d.num(0.8)} else 0 end + greatest(cast(0 as double), {d.num(1.5)} - {d.num(0.2)} * abs(a.pos - b.pos))"
-    pairs = f"select a.sample_id, a.field, b.text as value, b.pos, {d.rounded(score, 6)} as score, {S.field_score(d, 'a', 'b')} as place from {items} as a join {items} as b on a.sample_id = b.sample_id where a.kind = 'label' and b.kind = 'value'"
+    pairs = f"select a.sample_id, a.field, b.text as value, b.pos, {d.rounded(score, 8)} as score, {S.field_score(d, 'a', 'b')} as place from {items} as a join {items} as b on a.sample_id = b.sample_id where a.kind = 'label' and b.kind = 'value'"
     return f"select sample_id, field, value, score from (select *, row_number() over (partition by sample_id, field order by score desc, pos) as r from ({pairs}) as q where place > -1000) as q where r = 1"
 
 
