@@ -28,6 +28,9 @@ class Spark:
     def array(self, *xs: str) -> str:
         return f"array({', '.join(xs)})"
 
+    def struct(self, **fields: str) -> str:
+        return f"named_struct({', '.join(f'{chr(39)}{k}{chr(39)}, {x}' for k, x in fields.items())})"
+
     def keep(self, array: str) -> str:
         """The elements that are not null."""
         return f"filter({array}, x -> x is not null)"
@@ -143,6 +146,9 @@ class Duck(Spark):
     def array(self, *xs):
         return f"[{', '.join(xs)}]"
 
+    def struct(self, **fields):
+        return "{" + ", ".join(f"'{k}': {x}" for k, x in fields.items()) + "}"
+
     def keep(self, array):
         return f"[x for x in {array} if x is not null]"
 

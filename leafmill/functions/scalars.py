@@ -191,6 +191,11 @@ def issue_score(d, a, b):
     return f"case when {is_right} and {is_below} then greatest({right_score}, {below_score}) when {is_right} then {right_score} when {is_below} then {below_score} end"
 
 
-def rotated(angle, w, h):
-    """x1, y1, x2, y2 of a box after a turn of a page of width w and height h."""
-    return {0: ("x1", "y1", "x2", "y2"), 90: (f"{h} - y2", "x1", f"{h} - y1", "x2"), 180: (f"{w} - x2", f"{h} - y2", f"{w} - x1", f"{h} - y1"), 270: ("y1", f"{w} - x2", "y2", f"{w} - x1")}[angle]
+def rotated(angle, w, h, p=""):
+    """x1, y1, x2, y2 of a box (columns with prefix p) after a turn of a page of width w and height h."""
+    x1, y1, x2, y2 = (f"{p}{c}" for c in ("x1", "y1", "x2", "y2"))
+    if angle == 90:
+        return f"{h} - {y2}", x1, f"{h} - {y1}", x2
+    if angle == 180:
+        return f"{w} - {x2}", f"{h} - {y2}", f"{w} - {x1}", f"{h} - {y1}"
+    return (y1, f"{w} - {x2}", y2, f"{w} - {x1}") if angle == 270 else (x1, y1, x2, y2)

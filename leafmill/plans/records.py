@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from leafmill.functions import scalars as S
-from leafmill.operators import audit, candidates, evaluation, fusion, identity
+from leafmill.operators import audit, candidates, evaluation, fusion, identity, pages
 from leafmill.operators.fusion import CORE
 from leafmill.plans import synth
 from leafmill.plans.extraction import mrz_table, people, recognised, scans
@@ -319,3 +319,10 @@ def best_detection(d):
     rows = "select sample_id, case when vi = 0 then 'passport_page' else 'mrz' end as class, confidence, vi from lines where (k + vi) % 6 <> 0"
     best = f"select sample_id, {d.best('confidence', 'case when class = ' + repr('passport_page') + ' then confidence end')} as page, max(case when class = 'mrz' then confidence end) as zone from det group by sample_id"
     return [*recognised(d), ("det", rows), ("best", best), ("q", "select sample_id, page, zone, case when page is not null and zone is not null then 'passport_confirmed' when page is not null then 'passport_candidate' else 'no_passport_evidence' end as gate_status from best")]
+
+
+@plan
+def page_orientation(d):
+    """Scores of four turns of synthetic detections, and the best."""
+    base = f"select sample_id, {d.num(800)} as width, {d.num(600)} as height, {d.num(40)} + k % 7 as p_x1, {d.num(30)} + k % 5 as p_y1, {d.num(700)} - k % 11 as p_x2, {d.num(520)} - k % 13 as p_y2, case when k % 6 <> 0 then {d.num(60)} + k % 9 end as z_x1, case when k % 6 <> 0 then {d.num(430)} - (k % 4) * 100 end as z_y1, case when k % 6 <> 0 then {d.num(680)} - k % 17 end as z_x2, case when k % 6 <> 0 then {d.num(500)} - (k % 4) * 100 end as z_y2, {d.num(0.5)} + cast(k % 40 as double) / 100 as pc, {d.num(0.4)} + cast(v as double) / 10 as zc from sample"
+    return [*scans(d), ("found", base), ("turns", pages.orientations.text(d, "found")), ("q", "select a.sample_id, a.angle, a.score, b.angle as best_angle from turns as a join (" + pages.best_orientation.text(d, "turns") + ") as b on a.sample_id = b.sample_id")]
