@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each group: the smallest doc_id, of its repeats the one whose text comes first."""
+    """docs with one row of each group: the smallest doc_id, and one of its rows where it repeats within the group."""
     columns = docs.columns
     rows = materialise(with_fingerprints(docs, "__fp"), "simhash")
     found = groups(rows.select("doc_id", F.col("__fp").alias("fp")), radius)

@@ -208,7 +208,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = END_ID, length:
                 index.close()
         if n_docs:
             for old, new in zip(spare, names):
-                store.move(old, new)
+                if store.get_file_info(new).type == fs.FileType.NotFound:
+                    store.move(old, new)
+                else:  # an earlier attempt of this task has put the same bytes there
+                    store.delete_file(old)
             yield pa.record_batch({"part": pa.array([part], pa.int32()), "n_docs": pa.array([n_docs], pa.int64()), "n_tokens": pa.array([ids.total], pa.int64())})
         else:
             for old in spare:
