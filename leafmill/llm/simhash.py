@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from leafmill.llm import near_copies
 from leafmill.llm.common import drop_table, map_arrow, materialise
 
 SEED = 42
@@ -215,10 +216,15 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     """From written rows (doc_id, fp): fp, component (smallest fingerprint of the group, signed) and component_id (its smallest doc_id)."""
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fingerprints")
-    roots = components(links(fps.select("fp"), radius))
-    named = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.select("fp", "component").join(least, "component")
+    return named(fps, links(fps.select("fp"), radius))
+
+
+def named(fps: DataFrame, edges: DataFrame) -> DataFrame:
+    """fp, component and component_id of the distinct (fp, doc_id) that edges connect."""
+    roots = components(edges)
+    each = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("component"))
+    least = each.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return each.select("fp", "component").join(least, "component")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -227,10 +233,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(groups(rows, radius), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each group: the smallest doc_id, and one of its rows where it repeats within the group."""
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group of near copies (see near_copies): the smallest doc_id, and one of its rows where it repeats within the group."""
     columns = docs.columns
-    rows = materialise(with_fingerprints(docs, "__fp"), "simhash")
-    found = groups(rows.select("doc_id", F.col("__fp").alias("fp")), radius)
-    kept = rows.join(found.select(F.col("fp").alias("__fp"), F.col("component").alias("__component"), F.col("component_id").alias("__id")), "__fp").where(F.col("doc_id").eqNullSafe(F.col("__id")))
+    rows = materialise(near_copies.with_nodes(docs), "nodes")
+    nodes = materialise(rows.groupBy(F.col("__node").alias("fp")).agg(F.min("doc_id").alias("doc_id")), "fingerprints")
+    found = named(nodes, near_copies.edges(rows))
+    kept = rows.join(found.select(F.col("fp").alias("__node"), F.col("component").alias("__component"), F.col("component_id").alias("__id")), "__node").where(F.col("doc_id").eqNullSafe(F.col("__id")))
     return kept.dropDuplicates(["__component"]).select(*[F.col(f"`{c}`") for c in columns])
