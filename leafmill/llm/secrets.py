@@ -7,6 +7,9 @@ for every part the nearest part of each other role on either side, by running ma
 pairs are made. A weak secret is reported only beside an identifier or endpoint, a weak identifier and an endpoint only beside
 a secret. Base spans are always reported.
 
+A key may follow '=' directly, as in NAME=value, and has 24 characters or more. A random string that is the value of an identity
+is no key: it would stand beside itself.
+
 Defined cases: null text is empty; documents without parts have empty digests; repeated rows give repeated rows; an empty
 table gives an empty table. Kinds are ordered as in KINDS; weak parts that overlap a base span are dropped.
 """
@@ -24,7 +27,7 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]{16,}", 20, 0, "identifier", True),
     "hex": (r"[0-9a-f]{24,}", 24, 0, "secret", True),
     "identity": (r"""(?i)(?:user(?:_?name)?|login|client_?id|account_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]+""", 6, 0, "identifier", False),
-    "key": (r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=])", 32, 0, "secret", False),
+    "key": (r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{24,}+={0,2}(?![A-Za-z0-9+/=])", 24, 0, "secret", False),
     "endpoint": (r"""(?:https?|jdbc:[a-z]+|ftp|redis|amqp|mongodb)://[^\x00-\x20"'<>]+""", 8, 0, "endpoint", False),
 }
 SPANS = "array<struct<start:int,end:int,k:int>>"
@@ -56,6 +59,9 @@ def linked(docs: DataFrame, keep: list[Column], scope: int = SCOPE) -> DataFrame
     base = F.element_at(F.array(*[F.lit(KINDS[k][4]) for k in names]), F.col("s.k") + 1)
     parts = parts.select(*kept, "__row", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.k").alias("k"), role.alias("role"), base.alias("base"))
     order = Window.partitionBy("__row").orderBy("start", "k", "end")
+    identity, key = (F.lit(names.index(k)) for k in ("identity", "key"))
+    value = (F.col("k") == key) & F.coalesce(F.max(F.when(F.col("k") == identity, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1)) > F.col("start"), F.lit(False))
+    parts = parts.withColumn("value", value).withColumn("role", F.when(~F.col("value"), F.col("role")))
     before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
 
     def beside(other: str) -> Column:
@@ -65,7 +71,7 @@ def linked(docs: DataFrame, keep: list[Column], scope: int = SCOPE) -> DataFrame
 
     covered = F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(before) > F.col("start"), F.lit(False)) | F.coalesce(F.min(F.when(F.col("base"), F.col("start"))).over(after) < F.col("end"), F.lit(False))
     complement = F.when(F.col("role") == "secret", beside("identifier") | beside("endpoint")).otherwise(beside("secret"))
-    told = parts.withColumn("reported", F.col("base") | (complement & ~covered))
+    told = parts.withColumn("reported", F.col("base") | (complement & ~covered & ~F.col("value")))
     span = F.when(F.col("reported"), F.struct("start", "k", "end"))
     return told.groupBy("__row").agg(*[F.first(c).alias(c) for c in kept], F.array_sort(F.collect_list(span)).alias("spans")).drop("__row")
 
