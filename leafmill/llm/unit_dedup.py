@@ -1,4 +1,4 @@
-"""Substring dedup by hashing lines, paragraphs or sentences.
+"""Substring dedup by hashing lines, paragraphs, sentences or pieces of sentences.
 
 A text is cut into units whose concatenation is the text. A unit of `least_words` words or more is normalised (case folded, all
 but letters, marks and digits turned to single spaces) and hashed to 128 bits. Over all documents the earliest ranked
@@ -6,16 +6,19 @@ occurrence of each digest stays, by (doc_id, text digest, start), and every othe
 removed refer to the original text. Counting is combined before the shuffle and no group is gathered.
 
 Unit "sentence" cuts lines further at sentence ends: passages that were pasted into the middle of a line are not lines
-of their own.
+of their own. Unit "piece" cuts sentences further where their content says so: before a word whose hash is smaller than those of
+the `REACH` words on either side. The cut depends on these words only, so a passage that was pasted into the middle of a sentence
+falls into the same pieces everywhere but for its ends. Equal sentences have equal pieces, so pieces find all that sentences do.
 
 Defined cases: null text is empty; null doc_ids rank first; rows that repeat doc_id and text are one document and are cut alike; units
-below least_words stay; an empty table gives an empty table.
+without words stay; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -24,26 +27,46 @@ from pyspark.sql import DataFrame, functions as F
 from leafmill.llm.common import extended, map_arrow
 from leafmill.llm.suffix_repeats import text_key
 
-LEAST_WORDS = 8
+LEAST_WORDS = 1
+REACH = 4
 CUTS = {
     "line": re.compile(r"(?<=\n)"),
     "paragraph": re.compile(r"(?<=\n)(?=\n)(?<!\n\n)|(?<=\n\n)(?!\n)"),
     "sentence": re.compile(r"(?<=\n)|(?<=[.!?…])(?=\s)"),
 }
 OTHER = re.compile(r"[\W_]+")
+WORD = re.compile(r"[^\W_]+")
 
 
 def units(text: str, unit: str, least_words: int) -> list[tuple[int, int, str]]:
     """(start, end, normalised) of the units that take part."""
     out, at = [], 0
-    for x in CUTS[unit].split(text):
+    for x in (p for s in CUTS["sentence"].split(text) for p in pieces_of(s)) if unit == "piece" else CUTS[unit].split(text):
         norm = OTHER.sub(" ", x.casefold()).strip()
-        if norm.count(" ") + 1 >= least_words:
+        if norm and norm.count(" ") + 1 >= least_words:
             out.append((at, at + len(x), norm))
         at += len(x)
     return out
 
 
+def pieces_of(sentence: str) -> list[str]:
+    """A sentence cut before each word whose hash is the smallest of REACH words on either side, all within the sentence; a piece has over REACH words, or is the sentence."""
+    found = list(WORD.finditer(sentence))
+    n = len(found)
+    if n < 2 * REACH + 1:
+        return [sentence]
+    h = [crc32(m.group().casefold().encode()) for m in found]
+    out, at, i = [], 0, REACH
+    while i < n - REACH:
+        x = h[i]
+        if x < min(h[i - REACH : i]) and x < min(h[i + 1 : i + REACH + 1]):
+            out.append(sentence[at : found[i].start()])
+            at = found[i].start()
+            i += REACH
+        i += 1
+    return [*out, sentence[at:]]
+
+
 def unit_rows(docs: DataFrame, unit: str, least_words: int) -> DataFrame:
     """doc_id, t, start, end, h1, h2 of the units that take part."""
     source = docs.select(*text_key(), F.coalesce("text", F.lit("")).alias("x"))
@@ -63,7 +86,7 @@ def unit_rows(docs: DataFrame, unit: str, least_words: int) -> DataFrame:
     return map_arrow(source, rows, extended(source.select("doc_id", "t").schema, "start int, end int, h1 long, h2 long"))
 
 
-def removed_units(docs: DataFrame, unit: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
+def removed_units(docs: DataFrame, unit: str = "piece", least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, t, spans: sorted (start, end) of the units to remove, for documents that have any."""
     rows = unit_rows(docs, unit, least_words)
     first = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -72,7 +95,7 @@ def removed_units(docs: DataFrame, unit: str = "sentence", least_words: int = LE
     return later.groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
-def deduplicated(docs: DataFrame, unit: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, unit: str = "piece", least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, n_chars_in, n_removed_units, n_removed_chars, removed (start:end of the original, comma-joined), kept_sha256, text (what is kept) for each row."""
     source = docs.select(F.col("doc_id").alias("__id"), text_key()[1].alias("__t"), F.coalesce("text", F.lit("")).alias("x"))
     spans = removed_units(docs, unit, least_words)
