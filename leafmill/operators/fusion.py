@@ -41,7 +41,7 @@ def viz_wide(d, viz):
 def fused(d, manifest, mrz, viz, issue):
     """The manifest joined with its sources; each field chosen by the quality of its sources, with value, source and quality."""
     m_cols = ", ".join(f"nullif(m.{f}, '') as m_{f}, {mrz_quality(f)} as mq_{f}, {viz_quality(f)} as vq_{f}, v.{f} as v_{f}, {strength(f)} as ms_{f}" for f in FIELDS)
-    joined = f"""select s.sample_id, s.identity_id, s.k, {m_cols}, m.document_type, m.issuing_country, m.parse_status, m.parse_mode, m.all_main_checks_valid, m.final_check_valid, m.confidence as mrz_ocr_confidence,
+    joined = f"""select s.sample_id, s.identity_id, s.k, {m_cols}, m.document_type, m.issuing_country, m.parse_status, m.parse_mode, m.all_main_checks_valid, m.passport_number_check_valid, m.birth_date_check_valid, m.expiry_date_check_valid, m.final_check_valid, m.confidence as mrz_ocr_confidence,
         i.date_of_issue, i.status as doi_status, i.score as doi_score, m.sample_id is not null and m.parse_status = 'success' as mrz_available, v.sample_id is not null as viz_available
         from {manifest} as s left join {mrz} as m on s.sample_id = m.sample_id left join {viz} as v on s.sample_id = v.sample_id left join {issue} as i on s.sample_id = i.sample_id"""
 
@@ -54,7 +54,7 @@ def fused(d, manifest, mrz, viz, issue):
     quality = lambda f: f"case when left({f}_source, 3) = 'viz' then vq_{f} when {f}_source is not null then mq_{f} else 'missing' end"
     out = ", ".join(f"{value(f)} as {f}, {f}_source, {quality(f)} as {f}_quality" for f in FIELDS)
     final = f"""select sample_id, identity_id, k, {out}, date_of_issue, case when date_of_issue is not null then 'viz_date_of_issue' end as date_of_issue_source, coalesce(doi_status, 'missing') as date_of_issue_quality,
-        document_type, issuing_country, parse_status, parse_mode, all_main_checks_valid, final_check_valid, mrz_ocr_confidence, doi_score, mrz_available, viz_available,
+        document_type, issuing_country, parse_status, parse_mode, all_main_checks_valid, passport_number_check_valid, birth_date_check_valid, expiry_date_check_valid, final_check_valid, mrz_ocr_confidence, doi_score, mrz_available, viz_available,
         {', '.join(f'm_{f}, v_{f}, ms_{f}, vq_{f}' for f in FIELDS)} from (select *, {picked} from ({joined}) as q) as q"""
     present = " + ".join(f"case when {f} is null then 0 else 1 end" for f in CORE)
     missing = d.keep(d.array(*[f"case when {f} is null then '{f}' end" for f in CORE]))
@@ -90,11 +90,12 @@ def assessed(d, final, *, today="2026-01-01"):
     total, n = " + ".join(weight(f) for f in CORE), " + ".join(known(f) for f in CORE)
     lost = " + ".join([f"case conflict_{f} when 'high' then {PENALTY['high']} when 'medium' then {PENALTY['medium']} when 'low' then {PENALTY['low']} else 0 end" for f in FIELDS] + [f"case when {c} then {PENALTY[sev]} else 0 end" for _, sev, c in rules])
     high = " or ".join([f"coalesce(conflict_{f} = 'high', false)" for f in FIELDS] + [f"coalesce({c}, false)" for _, sev, c in rules if sev == "high"])
-    scored = f"""select *, {d.keep(d.array(*issue))} as issues, {d.keep(d.array(*[f"case when conflict_{f} is not null then '{f}' end" for f in FIELDS]))} as conflict_fields,
+    count = lambda level: " + ".join([f"case when conflict_{f} = '{level}' then 1 else 0 end" for f in FIELDS] + [f"case when {c} then 1 else 0 end" for _, sev, c in rules if sev == level])
+    scored = f"""select *, {count('high')} as high_count, {count('medium')} as medium_count, {d.keep(d.array(*issue))} as issues, {d.keep(d.array(*[f"case when conflict_{f} is not null then '{f}' end" for f in FIELDS]))} as conflict_fields,
         case when {n} = 0 then cast(0 as double) else greatest(cast(0 as double), least(cast(100 as double), 100 * ({total}) / ({n}) - ({lost}))) end as raw, {high} as has_high from ({base}) as q"""
     status = "case when raw >= 90 and not has_high then 'high_confidence' when raw >= 75 and not has_high then 'medium_confidence' when raw >= 50 then 'review' else 'low_confidence' end"
     reasons = d.keep(d.array("case when coverage <> 'complete' then 'incomplete_fields' end", f"case when {d.size('conflict_fields')} > 0 then 'source_conflict' end", "case when has_high then 'high_severity_issue' end", "case when not all_main_checks_valid then 'failed_check_digit' end"))
-    return f"""select sample_id, identity_id, k, {', '.join(CORE)}, {', '.join(f'{f}_source, {f}_quality' for f in CORE)}, document_type, issuing_country, parse_mode, all_main_checks_valid, mrz_available, viz_available,
-        coverage, extraction_mode, {d.joined('missing_fields', ' | ')} as missing_fields, {d.joined('issues', ' | ')} as issues, {d.joined('conflict_fields', ' | ')} as conflict_fields, has_high,
+    return f"""select sample_id, identity_id, k, {', '.join(CORE)}, {', '.join(f'{f}_source, {f}_quality' for f in CORE)}, document_type, issuing_country, parse_mode, all_main_checks_valid, passport_number_check_valid, birth_date_check_valid, expiry_date_check_valid, final_check_valid, mrz_available, viz_available,
+        high_count, medium_count, coverage, extraction_mode, {d.joined('missing_fields', ' | ')} as missing_fields, {d.joined('issues', ' | ')} as issues, {d.joined('conflict_fields', ' | ')} as conflict_fields, has_high,
         {d.size('missing_fields')} as missing_count, {d.size('conflict_fields')} as conflict_count, {d.rounded('raw', 2)} as quality_score, {status} as quality_status,
         {d.joined(reasons, ' | ')} as review_reasons, {status} in ('review', 'low_confidence') as review_required from ({scored}) as q"""

@@ -27,9 +27,13 @@ def risks(d, rows):
     """Annotation risk and difficulty of each record."""
     q = "case quality_status when 'low_confidence' then 5 when 'review' then 4 when 'medium_confidence' then 1.8 when 'high_confidence' then 0 else 1 end".replace("1.8", d.num(1.8))
     c = "case coverage when 'failed' then 5 when 'partial' then 3 when 'complete' then 0 else 1 end"
-    doi = f"case when date_of_issue is null then {d.num(1.5)} when date_of_issue_quality in ('low_confidence', 'medium_confidence') then 1 else 0 end"
-    risk = f"{q} + {c} + case when review_required then 2 else 0 end + least(4, {d.num(1.5)} * conflict_count) + case when has_high then 2 else 0 end + case when not all_main_checks_valid then 1 else 0 end + case when parse_mode = 'padded_or_truncated' then {d.num(1.5)} else 0 end + {doi} + least(4, {d.num(0.75)} * missing_count)"
-    inner = f"select *, {d.rounded(f'cast({risk} as double)', 3)} as risk, {d.rounded(f'cast(quality_score - 10 * missing_count - 5 * conflict_count as double)', 3)} as ease from {rows}"
+    doi = f"case when date_of_issue is null then {d.num(1.5)} when date_of_issue_quality in ('low_confidence', 'weak') then 1 else 0 end"
+    checks = " + ".join(f"case when not {c}_check_valid then 1 else 0 end" for c in ("passport_number", "birth_date", "expiry_date", "final"))
+    risk = f"{q} + {c} + case when review_required then 2 else 0 end + least(4, {d.num(1.5)} * conflict_count) + 2 * high_count + {d.num(0.8)} * medium_count + {checks} + case when parse_mode = 'padded_or_truncated' then {d.num(1.5)} else 0 end + {doi} + least(4, {d.num(0.75)} * missing_count)"
+    ease = "case coverage when 'complete' then 5 when 'partial' then 2 else 0 end + case quality_status when 'high_confidence' then 4 when 'medium_confidence' then 2 when 'review' then 1 else 0 end"
+    ease += "".join(f" + case when coalesce(trim({f}), '') <> '' then {d.num(0.5)} else 0 end" for f in CORE) + f" - {d.num(0.15)} * risk"
+    scored = f"select *, {d.rounded(f'cast({risk} as double)', 3)} as risk from {rows}"
+    inner = f"select *, {d.rounded(f'cast({ease} as double)', 3)} as ease from ({scored}) as q"
     return f"select *, case when risk >= 6 then 'hard' when risk >= {d.num(2.5)} then 'medium' else 'easy' end as difficulty from ({inner}) as q"
 
 
