@@ -10,6 +10,8 @@ FIELDS = {"passport_number": "passport_number", "surname": None, "given_names":
 CORE = [*FIELDS, "date_of_issue"]
 WEIGHTS = {"verified": 1.0, "strong": 0.92, "high": 0.88, "medium": 0.72, "weak": 0.48, "invalid": 0.20, "missing": 0.0, "high_confidence": 0.90, "medium_confidence": 0.72, "low_confidence": 0.45, "no_date_found": 0.0, "no_ocr_items": 0.0}
 UNKNOWN_WEIGHT = 0.45
+#: Page statuses that lose a sample before its fields are read.
+PAGE_LOST = "('no_passport_evidence', 'image_read_failed', 'unexpected_error', 'empty_crop')"
 PENALTY = {"high": 30, "medium": 12, "low": 5}
 
 
@@ -55,7 +57,7 @@ def fused(d, manifest, mrz, viz, issue):
     out = ", ".join(f"{value(f)} as {f}, {f}_source, {quality(f)} as {f}_quality" for f in FIELDS)
     final = f"""select sample_id, identity_id, k, {out}, date_of_issue, case when date_of_issue is not null then 'viz_date_of_issue' end as date_of_issue_source, coalesce(doi_status, 'missing') as date_of_issue_quality,
         document_type, issuing_country, parse_status, parse_mode, all_main_checks_valid, passport_number_check_valid, birth_date_check_valid, expiry_date_check_valid, final_check_valid, mrz_ocr_confidence, doi_score, mrz_available, viz_available,
-        {', '.join(f'm_{f}, v_{f}, ms_{f}, vq_{f}' for f in FIELDS)} from (select *, {picked} from ({joined}) as q) as q"""
+        {', '.join(f'm_{f}, v_{f}, ms_{f}, vq_{f}, mq_{f}' for f in FIELDS)} from (select *, {picked} from ({joined}) as q) as q"""
     present = " + ".join(f"case when {f} is null then 0 else 1 end" for f in CORE)
     missing = d.keep(d.array(*[f"case when {f} is null then '{f}' end" for f in CORE]))
     return f"""select *, case when {present} = {len(CORE)} then 'complete' when {present} > 0 then 'partial' else 'failed' end as coverage,
@@ -79,12 +81,12 @@ def temporal_rules(d, today: str) -> list[tuple[str, str, str]]:
 
 
 @operator
-def assessed(d, final, *, today="2026-01-01"):
-    """Consistency issues (code:severity), conflict fields, quality score and status of fused records."""
+def assessed(d, final, pages, *, today="2026-01-01"):
+    """Consistency issues (code:severity), conflict fields, quality score, status and reasons for review of fused records; pages has the status of each sample's page."""
     dates = ", ".join(f"{S.iso_date(d, n)} as {c}" for n, c in (("date_of_birth", "b"), ("date_of_issue", "i"), ("date_of_expiry", "e")))
     rules = [*temporal_rules(d, today), ("unexpected_document_type", "medium", "document_type is not null and document_type <> '' and left(document_type, 1) <> 'P'"), ("unexpected_sex", "medium", "sex is not null and upper(sex) not in ('M', 'F', 'X')")]
     issue = [f"case when {c_} is not null then 'source_conflict_{f}:' || {c_} end" for f in FIELDS for c_ in [f"conflict_{f}"]] + [f"case when {c} then '{code}:{sev}' end" for code, sev, c in rules]
-    base = f"select *, {dates}, {', '.join(f'{conflict(d, f)} as conflict_{f}' for f in FIELDS)} from {final}"
+    base = f"select *, {dates}, {', '.join(f'{conflict(d, f)} as conflict_{f}' for f in FIELDS)} from (select f.*, p.status as page_status from {final} as f left join {pages} as p on f.sample_id = p.sample_id) as q"
     weight = lambda f: f"case {f}_quality {' '.join(f'when {q!r} then {d.num(w)}' for q, w in WEIGHTS.items())} else {d.num(UNKNOWN_WEIGHT)} end"
     known = lambda f: f"case when {f}_quality = 'missing' then 0 else 1 end"
     total, n = " + ".join(weight(f) for f in CORE), " + ".join(known(f) for f in CORE)
@@ -94,8 +96,11 @@ def assessed(d, final, *, today="2026-01-01"):
     scored = f"""select *, {count('high')} as high_count, {count('medium')} as medium_count, {d.keep(d.array(*issue))} as issues, {d.keep(d.array(*[f"case when conflict_{f} is not null then '{f}' end" for f in FIELDS]))} as conflict_fields,
         case when {n} = 0 then cast(0 as double) else greatest(cast(0 as double), least(cast(100 as double), 100 * ({total}) / ({n}) - ({lost}))) end as raw, {high} as has_high from ({base}) as q"""
     status = "case when raw >= 90 and not has_high then 'high_confidence' when raw >= 75 and not has_high then 'medium_confidence' when raw >= 50 then 'review' else 'low_confidence' end"
-    reasons = d.keep(d.array("case when coverage <> 'complete' then 'incomplete_fields' end", f"case when {d.size('conflict_fields')} > 0 then 'source_conflict' end", "case when has_high then 'high_severity_issue' end", "case when not all_main_checks_valid then 'failed_check_digit' end"))
+    told = [f"case when conflict_{f} in ('high', 'medium') then 'consistency:source_conflict_{f}' end" for f in FIELDS] + [f"case when {c} then 'consistency:{code}' end" for code, sev, c in rules if sev in ("high", "medium")]
+    invalid = " or ".join(f"mq_{f} = 'invalid'" for f in FIELDS)
+    reasons = d.keep(d.array("case when coverage <> 'complete' then 'incomplete_fields' end", f"case when {status} in ('review', 'low_confidence') then 'quality_status:' || {status} end", "case when not all_main_checks_valid then 'mrz_checksum_failed' end",
+        "case when parse_mode = 'padded_or_truncated' then 'mrz_soft_parse' end", f"case when {invalid} then 'invalid_mrz_field_used_as_fallback' end", *told, f"case when page_status in {PAGE_LOST} then 'passport_stage:' || page_status end"))
     return f"""select sample_id, identity_id, k, {', '.join(CORE)}, {', '.join(f'{f}_source, {f}_quality' for f in CORE)}, document_type, issuing_country, parse_mode, all_main_checks_valid, passport_number_check_valid, birth_date_check_valid, expiry_date_check_valid, final_check_valid, mrz_available, viz_available,
         high_count, medium_count, coverage, extraction_mode, {d.joined('missing_fields', ' | ')} as missing_fields, {d.joined('issues', ' | ')} as issues, {d.joined('conflict_fields', ' | ')} as conflict_fields, has_high,
         {d.size('missing_fields')} as missing_count, {d.size('conflict_fields')} as conflict_count, {d.rounded('raw', 2)} as quality_score, {status} as quality_status,
-        {d.joined(reasons, ' | ')} as review_reasons, {status} in ('review', 'low_confidence') as review_required from ({scored}) as q"""
+        {d.joined('reasons', ' | ')} as review_reasons, {d.size('reasons')} > 0 as review_required from (select *, {reasons} as reasons from ({scored}) as q) as q"""
