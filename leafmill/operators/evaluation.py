@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from leafmill.functions import scalars as S
 from leafmill.functions.dialect import operator
-from leafmill.operators.fusion import CORE
+from leafmill.operators.fusion import CORE, FIELDS, PAGE_LOST
 
 
 @operator
@@ -69,13 +69,22 @@ def split_metrics(d, compared, votes):
 
 
 @operator
-def failures(d, compared, mrz, pages):
-    """Each wrong field with the stage that lost it, by an ordered cascade of rules."""
-    category = """case when p.status is not null and p.status not in ('perspective_success', 'perspective_failed_fallback', 'safe_fallback_crop') then 'passport_stage'
-        when c.field = 'date_of_issue' then 'doi_extraction' when c.predicted is not null and left(c.source, 3) = 'viz' and m.parse_status = 'success' then 'fusion'
-        when left(c.source, 3) = 'viz' then 'viz_field_extraction' when left(c.source, 3) = 'mrz' and c.quality = 'invalid' then 'mrz_ocr' when left(c.source, 3) = 'mrz' and m.parse_mode = 'padded_or_truncated' then 'mrz_parse'
-        when left(c.source, 3) = 'mrz' then 'mrz_ocr_or_parse' when m.sample_id is null then 'upstream_missing' when c.predicted is null then 'field_missing' else 'unclassified' end"""
-    return f"select c.*, {category} as failure_category from {compared} as c left join {mrz} as m on c.sample_id = m.sample_id left join {pages} as p on c.sample_id = p.sample_id where not c.correct"
+def failures(d, compared, mrz, viz, issue, pages):
+    """Each wrong field with the stage that lost it: what either source says is held against the truth, by an ordered cascade of rules."""
+    value = lambda t, fields: f"case c.field {' '.join(f'when {f!r} then ' + S.comparable(d, f, f'{t}.{f}', 'evaluation') for f in fields)} end"
+    check = f"case c.field {' '.join(f'when {f!r} then m.{c}_check_valid' for f, c in FIELDS.items() if c)} end"
+    joined = f"""select c.*, p.status as page_status, m.sample_id is not null as has_mrz, v.sample_id is not null as has_viz, m.parse_status, m.parse_mode, {check} as check_valid,
+        nullif({value('m', FIELDS)}, '') as mrz_value, nullif({value('v', FIELDS)}, '') as viz_value, {S.comparable(d, 'date_of_issue', 'i.date_of_issue', 'evaluation')} as doi_value
+        from {compared} as c left join {mrz} as m on c.sample_id = m.sample_id left join {viz} as v on c.sample_id = v.sample_id left join {issue} as i on c.sample_id = i.sample_id left join {pages} as p on c.sample_id = p.sample_id where not c.correct"""
+    is_from = lambda s: f"coalesce(left(source, 3) = '{s}', false)"
+    right = lambda s: f"coalesce({s}_value = expected, false)"
+    category = f"""case when page_status in {PAGE_LOST} then 'passport_stage'
+        when field = 'date_of_issue' and {right('doi')} then 'fusion_or_finalization' when field = 'date_of_issue' then 'doi_extraction'
+        when {is_from('mrz')} and {right('viz')} and not {right('mrz')} then 'fusion' when {is_from('viz')} and {right('mrz')} and not {right('viz')} then 'fusion'
+        when {is_from('mrz')} or (coalesce(source, '') = '' and mrz_value is not null) then case when not check_valid then 'mrz_ocr' when coalesce(parse_status, '') <> 'success' or coalesce(parse_mode, '') = 'padded_or_truncated' then 'mrz_parse' else 'mrz_ocr_or_parse' end
+        when {is_from('viz')} or (coalesce(source, '') = '' and viz_value is not null) then 'viz_field_extraction'
+        when predicted is null and not has_mrz and not has_viz then 'upstream_missing' when predicted is null then 'field_missing' else 'unclassified' end"""
+    return f"select sample_id, identity_id, split, quality_status, field, expected, predicted, source, quality, correct, {category} as failure_category from ({joined}) as q"
 
 
 @operator

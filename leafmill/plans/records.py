@@ -43,7 +43,7 @@ def compared(d):
 
 
 def failed(d):
-    return [*compared(d), ("failed", evaluation.failures.text(d, "compared", "mrz", "pages_"))]
+    return [*compared(d), ("failed", evaluation.failures.text(d, "compared", "mrz", "wide", "issue", "pages_"))]
 
 
 def risky(d):
