@@ -150,7 +150,7 @@ def failure_counts(d):
 
 @plan
 def review_bundle(d):
-    return [*failed(d), ("q", evaluation.review_bundle.text(d, "failed", most=50))]
+    return [*failed(d), ("q", evaluation.review_bundle.text(d, "failed", most=200))]
 
 
 @plan
