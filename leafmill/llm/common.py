@@ -15,9 +15,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh one where that is unset and all runs on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -31,7 +33,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage is cut, and the data outlives any executor."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,44 +1,53 @@
-"""Removal of repeated substrings by common-prefix interval trees over enhanced suffix arrays.
+"""Removal of repeated substrings by common-prefix interval trees over a range-partitioned, enhanced suffix array.
 
 All byte strings of `n` bytes that start in two or more places of the corpus are found, and every byte that one of them covers
-is removed. A suffix array of everything would be one global sort of all suffixes, so the corpus is first dealt into small
-buckets, and each repeat is found whole in some bucket:
+is removed.
 
 1. Anchors. Among the hashes of the n - k + 1 grams of k bytes in any n-byte string the smallest (leftmost of equals) is an
    anchor, so equal strings have equal anchors at equal offsets. About 2 in n - k + 2 positions are anchors. An anchor's
    context is what n-byte strings with this anchor can cover: n - k bytes before its gram and n from its start.
-2. Contexts are counted by 128 bits of digest (combined before the shuffle). A context that occurs twice or more is
-   repeated throughout. Grams with one occurrence are done.
-3. Where a gram has different contexts, one copy of each is fetched. A task builds enhanced suffix arrays of a bucket's contexts, a
-   stack scan visits the intervals of their common-prefix trees, and sorting an interval's occurrences by the bytes before them tests
-   how they extend to the left: that gives the maximal repeat groups, each with all its occurrences.
-4. A gram with more than `bucket` contexts is split into blocks, each with its own array. Starts that a block leaves open
-   are compared across blocks by digests of their strings: first strings that stand for `STEP` starts each, then,
-   where those repeat, the starts themselves.
-5. Anchors take their context's intervals; a document's intervals meet its text by doc_id and text digest.
-
-Strings are judged on the input. Counting is never per group in one task, and each suffix array has a proven bound.
+2. Equal contexts (128 bits of digest; combined before the shuffle) are one entry of the array; if there are two or more, the
+   whole context is repeated. Contexts whose gram has no other context are done.
+3. Suffix array. The starts of n-byte strings in a context are served by suffixes at every `step`-th place: all strings of a
+   place share a core of n - step + 1 bytes. The suffixes of all contexts are sorted globally, by range partitions over core (its
+   digest), what follows it and what stands before it, so equal grams, however many, fall into as many tasks as they need.
+4. Intervals. A stack scan over the common-prefix lengths of neighbours gives for each suffix the intervals of the common-prefix
+   tree that hold it; the stack is a set of lengths, one bit each. Each chunk of a partition reports its first and last
+   suffix with their stacks, and the driver carries the stacks across borders (a row for each chunk). An interval's key is its
+   core and the prefix that its members share.
+5. Left extension. Members are sorted globally by interval and by the bytes before them, read backwards; the longer of the common
+   lengths with both neighbours is how far a member extends to the left with any other member. The interval is a maximal repeat
+   group for the members whose left and right extensions together reach n bytes. Neighbours across a border are compared
+   on the driver (two rows for each chunk).
+6. Anchors take their context's ranges; a document's ranges meet its text by doc_id and text digest.
+
+Strings are judged on the input. No group is gathered: both sorts split equal keys by the bytes that follow, and rows are at most
+one for each suffix and interval that holds it.
 
 Defined cases: null text is empty; texts under n bytes are kept whole; repeated rows are documents of their own, so each of them is
-a repeat of the other; rows without doc_id take part; an empty table gives an empty table.
+a repeat of the other; rows without doc_id take part; columns other than doc_id and text are ignored, whatever their names; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafmill.llm.common import as_array, extended, map_arrow, materialise, pieces
+from leafmill.llm.common import drop_table, extended, map_arrow, materialise
 
 LENGTH = 200
 GRAM = 40
-BUCKET = 1024
-STEP = 40
+#: Starts that one suffix serves; a stack of prefix lengths 0..STEP - 1 fits into 64 bits.
+STEP = 54
+#: Rows of the sorted suffixes that one scan holds; it reports its borders to the driver.
+CHUNK = 1 << 18
 #: Positions that one pass of the anchor search covers; with the overlap fewer than 2 ** 20.
 PASS = 1 << 19
 
@@ -104,10 +113,10 @@ def text_key() -> list[Column]:
 
 
 def anchor_rows(docs: DataFrame, n: int, k: int) -> DataFrame:
-    """doc_id, t, p (start), g (gram), c (context) for each anchor."""
+    """doc_id, t, p (start), g (gram), c1 and c2 (context) for each anchor."""
     source = docs.select(*text_key(), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
-    schema = extended(source.select("doc_id", "t").schema, "p int, g long, c long")
-    w, digest = n - k + 1, xxhash.xxh3_64_intdigest
+    schema = extended(source.select("doc_id", "t").schema, "p int, g long, c1 long, c2 long")
+    w, digest = n - k + 1, xxhash.xxh3_128_digest
 
     def rows(batch: pa.RecordBatch) -> dict:
         ps, gs, cs, counts = [], [], [], []
@@ -119,56 +128,222 @@ def anchor_rows(docs: DataFrame, n: int, k: int) -> DataFrame:
             cs += [digest(data[max(0, x - w + 1) : x + n], min(x, w - 1)) for x in p.tolist()]
         take = pa.array(np.repeat(np.arange(len(counts)), counts))
         g = np.concatenate(gs).astype(np.uint64).view(np.int64)
-        return {"doc_id": batch.column(0).take(take), "t": batch.column(1).take(take), "p": np.concatenate(ps).astype(np.int32), "g": g, "c": np.array(cs, np.uint64).view(np.int64)}
+        c = np.frombuffer(b"".join(cs), "<i8").reshape(-1, 2)
+        return {"doc_id": batch.column(0).take(take), "t": batch.column(1).take(take), "p": np.concatenate(ps).astype(np.int32), "g": g, "c1": c[:, 0], "c2": c[:, 1]}
 
     return map_arrow(source, rows, schema)
 
 
-def common(a: bytes, b: bytes, least: int = 0) -> int:
-    """Length of the common prefix; 0 if it is below least."""
-    if a[:least] != b[:least]:
-        return 0
-    low, high = least, min(len(a), len(b))
-    while low < high:
-        mid = (low + high + 1) // 2
-        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
-    return low
-
-
-def prefix_intervals(suffixes: list[bytes], least: int) -> Iterator[tuple[int, int, int]]:
-    """Intervals (length, first, past the last) of the common-prefix tree of sorted suffixes, from length least on, by a stack scan."""
-    stack: list[tuple[int, int]] = [(0, 0)]
-    for r in range(1, len(suffixes) + 1):
-        lcp = common(suffixes[r - 1], suffixes[r], least) if r < len(suffixes) else 0
-        left = r - 1
-        while stack[-1][0] > lcp:
-            length, left = stack.pop()
-            yield length, left, r
-        if lcp > stack[-1][0]:
-            stack.append((lcp, left))
-
-
-def maximal_repeats(texts: list[bytes], lefts: list[int], n: int, step: int = STEP) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """Maximal repeat groups of n bytes or more in texts that share a gram lefts bytes from their starts: for each, its end from the gram's start
-    and its occurrences (text, start from the gram's start).
-
-    Suffixes are compared at one place from the gram only: neighbouring contexts of a document overlap, and a place is no repeat of itself.
-    An enhanced suffix array of the suffixes at every step-th place serves step starts: an interval of its tree from n - step + 1 bytes on is a group
-    with one right extension, and sorting its members by the bytes before them, read backwards, gives how far each extends to the left
-    with another. The group is a maximal repeat for the members whose extensions together reach n bytes.
-    """
-    for place in range(-(max(lefts) // step) * step, 1, step):
-        own = sorted((x[place + left :], i) for i, (x, left) in enumerate(zip(texts, lefts)) if place + left >= 0 and len(x) - place - left > n - step)
-        if len(own) < 2:
-            continue
-        before = {i: texts[i][max(0, place + lefts[i] - step + 1) : place + lefts[i]][::-1] for _, i in own}
-        for length, a, b in prefix_intervals([x for x, _ in own], n - step + 1):
-            members = sorted((before[i], i) for _, i in own[a:b])
-            shared = [0, *(common(x, y) for (x, _), (y, _) in zip(members, members[1:])), 0]
-            if length + max(shared) < n:
-                continue
-            reach = [max(shared[k], shared[k + 1]) for k in range(len(members))]
-            yield place + length, [(i, place - e) for (_, i), e in zip(members, reach) if length + e >= n]
+def suffixes(docs: DataFrame, wanted: DataFrame, n: int, k: int, step: int) -> DataFrame:
+    """c1, c2 (context), place, k1, k2 (core), follows, before (read backwards) of the suffixes of wanted contexts: rows of doc_id, t, p, c1, c2."""
+    w, core = n - k + 1, n - step + 1
+    asked = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("p", "c1", "c2")).alias("asked"))
+    source = docs.select(F.col("doc_id").alias("id_"), text_key()[1].alias("t_"), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
+    both = source.join(asked, F.col("id_").eqNullSafe(F.col("doc_id")) & (F.col("t_") == F.col("t"))).select("b", "asked")
+    places = range(0, -w, -step)
+    seeds = {place: i for i, place in enumerate(places)}
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        c1, c2, at, cores, follows, before = [], [], [], [], [], []
+        digest = xxhash.xxh3_128_digest
+        for data, asks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            size = len(data)
+            for a in asks:
+                p = a["p"]
+                first, end = max(0, p - w + 1), min(size, p + n)
+                for place in places:
+                    x = p + place
+                    y = x + core
+                    if x < first or y > end:
+                        continue
+                    c1.append(a["c1"])
+                    c2.append(a["c2"])
+                    at.append(place)
+                    cores.append(digest(data[x:y], seeds[place]))
+                    follows.append(data[y : min(end, y + step - 1)])
+                    before.append(data[max(first, x - step + 1) : x][::-1])
+        keys = np.frombuffer(b"".join(cores), "<i8").reshape(-1, 2)
+        return {"c1": c1, "c2": c2, "place": at, "k1": keys[:, 0], "k2": keys[:, 1], "follows": follows, "before": before}
+
+    return map_arrow(both, rows, "c1 long, c2 long, place int, k1 long, k2 long, follows binary, before binary")
+
+
+def chunked(frame: DataFrame, size: int, solve: Callable[[pa.Table, int], pa.Table], schema: str) -> DataFrame:
+    """solve() over runs of `size` rows of each partition, with a number that rises with partition and run."""
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    target = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def told(held: list[pa.RecordBatch], chunk: int) -> list[pa.RecordBatch]:
+        return solve(pa.Table.from_batches(held), chunk).select(target.names).cast(target).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = itertools.count(TaskContext.get().partitionId() << 32)
+        held, n = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, size - n)
+                held.append(part)
+                n += part.num_rows
+                batch = batch.slice(part.num_rows)
+                if n == size:
+                    yield from told(held, next(number))
+                    held, n = [], 0
+        if n:
+            yield from told(held, next(number))
+
+    return frame.mapInArrow(run, schema)
+
+
+def matrix(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings of up to width bytes as rows of a matrix, and their lengths."""
+    x = column.combine_chunks()
+    size = pa.compute.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros((len(x), width), np.uint8)
+    out[np.arange(width) < size[:, None]] = np.frombuffer(b"".join(x.to_pylist()), np.uint8)
+    return out, size
+
+
+def common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Lengths of the common prefixes of the rows of two such matrices."""
+    differ = a[0] != b[0]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), differ.shape[1])
+    return np.minimum(first, np.minimum(a[1], b[1]))
+
+
+def neighbours(keys: np.ndarray, text: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each row but the first its common prefix with the row before it; -1 where their keys differ."""
+    lcp = common((text[0][1:], text[1][1:]), (text[0][:-1], text[1][:-1]))
+    return np.where((keys[1:] == keys[:-1]).all(axis=1), lcp, -1)
+
+
+def clamped(stack: int, length: int) -> int:
+    """A stack of prefix lengths, seen from a suffix that shares `length` bytes with the one it belongs to."""
+    return stack & (1 << length) - 1 | (stack >> length > 0) << length if length >= 0 else 0
+
+
+def stacks(lcp: list[int]) -> list[int]:
+    """For each suffix the set (one bit each) of the common-prefix lengths with all earlier ones of its core: the open intervals of a stack scan."""
+    out, now = [0], 0
+    for x in lcp:
+        now = now & (1 << x) - 1 | 1 << x if x >= 0 else 0
+        out.append(now)
+    return out
+
+
+SCANNED = "c1 long, c2 long, place int, k1 long, k2 long, follows binary, before binary, own long, chunk long, to_first int, to_last int, border array<long>"
+
+
+def scanned(sorted_rows: DataFrame, step: int, size: int) -> DataFrame:
+    """The suffixes that share their core with another: intervals within their chunk (own), bytes shared with the chunk's first and last suffix
+    (to_first, to_last; -1: another core). Of each chunk the first and the last row have border: first or last (0, 1), the stack seen from there, and what the chunk's ends share."""
+
+    def solve(rows: pa.Table, chunk: int) -> pa.Table:
+        keys = np.stack([rows.column(c).to_numpy() for c in ("k1", "k2")], axis=1)
+        text = matrix(rows.column("follows"), step - 1)
+        lcp = neighbours(keys, text)
+        ahead, back = stacks(lcp.tolist()), stacks(lcp[::-1].tolist())[::-1]
+        ends = [np.where((keys == keys[i]).all(axis=1), common(text, (text[0][i][None], text[1][i][None])), -1) for i in (0, -1)]
+        own = np.array([x | y for x, y in zip(ahead, back)], np.int64)
+        take = np.flatnonzero((own > 0) | (ends[0] >= 0) | (ends[1] >= 0))  # both ends are among them
+        border: list = [None] * len(take)
+        through = int(ends[0][-1])
+        out = {c: rows.column(c).take(pa.array(take)) for c in rows.column_names}
+        told = {"own": own[take], "chunk": np.full(len(take), chunk), "to_first": ends[0][take].astype(np.int32), "to_last": ends[1][take].astype(np.int32)}
+        border[0] = [0, back[0], through]
+        if len(take) == 1:  # the first row is the last one too
+            border[0] = [2, 0, int(text[1][0])]
+        else:
+            border[-1] = [1, ahead[-1], through]
+        return pa.table(out | told | {"border": pa.array(border, pa.list_(pa.int64()))})
+
+    return chunked(sorted_rows, size, solve, SCANNED)
+
+
+def carried(borders: list) -> list[tuple[int, int, int]]:
+    """(chunk, stack from the left, stack from the right) of the chunks that share a core with a neighbour, from the border rows of all chunks."""
+    ends: dict[int, list] = {}
+    for r in sorted(borders, key=lambda r: (r["chunk"], r["border"][0])):
+        ends.setdefault(r["chunk"], []).append(r)
+    order = list(ends)
+
+    def shared(a, b) -> int:
+        if (a["k1"], a["k2"]) != (b["k1"], b["k2"]):
+            return -1
+        return next((i for i, (x, y) in enumerate(zip(a["follows"], b["follows"])) if x != y), min(len(a["follows"]), len(b["follows"])))
+
+    def carry(chunks: list[int], out_at: int, in_at: int) -> dict[int, int]:
+        found, now = {}, 0
+        for a, b in zip(chunks, chunks[1:]):
+            out, into = ends[a][out_at], ends[b][in_at]
+            whole = out["border"][2]
+            inside = out["border"][1] | clamped(now, whole)
+            length = shared(out, into)
+            now = clamped(inside, length) | 1 << length if length >= 0 else 0
+            found[b] = now
+        return found
+
+    left, right = carry(order, -1, 0), carry(order[::-1], 0, -1)
+    return [(c, left.get(c, 0), right.get(c, 0)) for c in order if left.get(c, 0) or right.get(c, 0)]
+
+
+def intervals(rows: DataFrame, step: int) -> DataFrame:
+    """One row for each suffix and interval that holds it: c1, c2, place, n1, n2 (interval), q (bytes after the core that its members share), before."""
+    spark = rows.sparkSession
+    borders = rows.where(F.col("border").isNotNull()).select("chunk", "k1", "k2", "follows", "border").collect()  # two rows a chunk
+    carries = spark.createDataFrame(carried(borders), "chunk long, from_left long, from_right long")
+
+    def seen(stack: str, length: str) -> Column:
+        m = F.expr(f"shiftleft(1L, greatest({length}, 0))")
+        over = F.when(F.expr(f"shiftright({stack}, greatest({length}, 0))") > 0, m).otherwise(F.lit(0).cast("long"))
+        return F.when(F.col(length) >= 0, F.coalesce(F.col(stack).bitwiseAND(m - 1).bitwiseOR(over), F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+
+    every = rows.join(F.broadcast(carries), "chunk", "left")
+    every = every.withColumn("held", F.col("own").bitwiseOR(seen("from_left", "to_first")).bitwiseOR(seen("from_right", "to_last")))
+    # an interval with q bytes after the core needs step - 1 - q before it
+    lengths = F.filter(F.sequence(F.greatest(F.lit(0), F.lit(step - 1) - F.length("before")), F.lit(step - 1)), lambda q: F.col("held").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), q)) != 0)
+    each = every.select("c1", "c2", "place", "k1", "k2", "follows", "before", F.explode(lengths).alias("q"))
+    shared = F.substring("follows", F.lit(1), F.col("q"))
+    return each.select("c1", "c2", "place", F.xxhash64("k1", "k2", "q", shared).alias("n1"), F.xxhash64(F.lit(1), shared, "q", "k2", "k1").alias("n2"), "q", "before")
+
+
+EXTENDED = "c1 long, c2 long, a int, b int, edge struct<chunk: long, last: boolean, n1: long, n2: long, before: binary, place: int, q: int>"
+
+
+def left_extended(sorted_rows: DataFrame, n: int, step: int, size: int) -> DataFrame:
+    """Ranges [a, b) of a context, relative to its gram's start, that the members of an interval repeat; the first and the last row of each chunk come as edges."""
+    core = n - step + 1
+
+    def solve(rows: pa.Table, chunk: int) -> pa.Table:
+        keys = np.stack([rows.column(c).to_numpy() for c in ("n1", "n2")], axis=1)
+        lcp = neighbours(keys, matrix(rows.column("before"), step - 1))
+        e = np.maximum(np.concatenate([[-1], lcp]), np.concatenate([lcp, [-1]]))
+        place, q = (rows.column(c).to_numpy() for c in ("place", "q"))
+        good = np.flatnonzero(e >= step - 1 - q)
+        ends = np.array([0, len(e) - 1])
+        take = np.concatenate([good, ends])
+        edge = [None] * len(good) + [{"chunk": chunk, "last": last, **{c: rows.column(c)[int(i)].as_py() for c in ("n1", "n2", "before", "place", "q")}} for i, last in zip(ends, (False, True))]
+        kind = pa.struct([("chunk", pa.int64()), ("last", pa.bool_()), ("n1", pa.int64()), ("n2", pa.int64()), ("before", pa.binary()), ("place", pa.int32()), ("q", pa.int32())])
+        told = {"a": (place - e)[take].astype(np.int32), "b": (place + core + q)[take].astype(np.int32), "edge": pa.array(edge, kind)}
+        return pa.table({c: rows.column(c).take(pa.array(take)) for c in ("c1", "c2")} | told)
+
+    return chunked(sorted_rows, size, solve, EXTENDED)
+
+
+def across(edges: list, n: int, step: int) -> list[tuple[int, int, int, int]]:
+    """(c1, c2, a, b) that neighbours on either side of a border share."""
+    out = []
+    rows = sorted(edges, key=lambda r: (r["edge"]["chunk"], r["edge"]["last"]))
+    for x, y in zip(rows, rows[1:]):
+        u, v = x["edge"], y["edge"]
+        if u["chunk"] != v["chunk"] and (u["n1"], u["n2"]) == (v["n1"], v["n2"]):
+            e = next((i for i, (p, q) in enumerate(zip(u["before"], v["before"])) if p != q), min(len(u["before"]), len(v["before"])))
+            if e >= step - 1 - u["q"]:
+                out += [(r["c1"], r["c2"], r["edge"]["place"] - e, r["edge"]["place"] + n - step + 1 + r["edge"]["q"]) for r in (x, y)]
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -181,141 +356,35 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def contexts(docs: DataFrame, wanted: DataFrame, n: int, k: int) -> DataFrame:
-    """g, c, many, blocks, left, x (bytes) for the wanted contexts: rows of doc_id, t, p, g, c, many, blocks."""
-    w = n - k + 1
-    asked = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("p", "g", "c", "many", "blocks")).alias("asked"))
-    source = docs.select(F.col("doc_id").alias("__id"), text_key()[1].alias("__t"), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
-    both = source.join(asked, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__t") == F.col("t"))).select("b", "asked")
-
-    def rows(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {c: [] for c in ("g", "c", "many", "blocks", "left", "x")}
-        for data, asks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for a in asks:
-                for c in ("g", "c", "many", "blocks"):
-                    out[c].append(a[c])
-                out["left"].append(min(a["p"], w - 1))
-                out["x"].append(data[max(0, a["p"] - w + 1) : a["p"] + n])
-        return out
-
-    return map_arrow(both, rows, "g long, c long, many boolean, blocks int, left int, x binary")
-
-
-SOLVED = "g long, c long, spans array<struct<a:int,b:int>>, open array<struct<a:int,b:int>>, left int, x binary"
-
-
-def solve(rows: DataFrame, n: int) -> DataFrame:
-    """Suffix arrays by bucket (g, block): spans (relative to the gram's start) of each context, and, of a split gram's, the ranges of starts still open."""
-    block = F.pmod(F.xxhash64("c", F.lit(7)), F.col("blocks").cast("long")).cast("int")
-    dealt = rows.withColumn("block", block).repartition("g", "block").sortWithinPartitions("g", "block", "c").select("g", "block", "c", "many", "blocks", "left", "x")
-    from pyspark.sql import types as T
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(T._parse_datatype_string(SOLVED))
-
-    def bucket(held: list[tuple]) -> Iterator[tuple]:
-        # copies of a context (of a repeated row) are one
-        held = list({h[2]: h for h in held}.values())
-        spans: list[list[tuple[int, int]]] = [[] for _ in held]
-        if len(held) > 1:
-            texts, lefts = [h[6] for h in held], [h[5] for h in held]
-            for end, places in maximal_repeats(texts, lefts, n):
-                for i, start in places:
-                    spans[i].append((start, end))
-        for (g, _, c, many, blocks, left, x), own in zip(held, spans):
-            rest, at = [], -left
-            if blocks > 1 and not many:
-                for a, b in [*merged([(a, b - n + 1) for a, b in own]), (len(x) - n + 1 - left, 0)]:
-                    if at < a:
-                        rest.append((at, a))
-                    at = b
-            cover = [] if many else merged(own)
-            if cover or blocks > 1:
-                yield g, c, [{"a": a, "b": b} for a, b in cover], [{"a": a, "b": b} for a, b in rest], left, x if blocks > 1 else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, out = None, [], []
-        for whole in batches:
-            for batch in pieces(whole):
-                for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
-                    if row[:2] != key:
-                        out += bucket(held)
-                        key, held = row[:2], []
-                    held.append(row)
-                if out:
-                    yield pa.record_batch([as_array(list(v), f.type) for v, f in zip(zip(*out), target)], schema=target)
-                    out = []
-        out += bucket(held)
-        if out:
-            yield pa.record_batch([as_array(list(v), f.type) for v, f in zip(zip(*out), target)], schema=target)
-
-    return dealt.mapInArrow(run, SOLVED)
-
-
-def across_blocks(split: DataFrame, n: int) -> DataFrame:
-    """g, c, spans: what contexts of split grams share across blocks.
-
-    A string of n - STEP + 1 bytes at the right place is part of all n-byte strings of STEP neighbouring starts; where it is in one context
-    only, those starts are settled. The others are compared one by one.
-    """
-    ranges = "array<struct<a:int,b:int>>"
-    whole = F.array(F.struct((-F.col("left")).alias("a"), (F.octet_length("x") - n + 1 - F.col("left")).alias("b")))
-    rows = split.select("g", "c", "left", "x", "open", whole.cast(ranges).alias("all"))
-
-    def strings(frame: DataFrame, where: str, size: int, step: int) -> DataFrame:
-        """g, c, s, h1, h2 of the strings of size bytes that stand for the starts in a column of ranges."""
-
-        def run(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {c: [] for c in ("g", "c", "s", "h1", "h2")}
-            for g, c, left, x, found in zip(*[batch.column(i).to_pylist() for i in range(5)]):
-                for s in sorted({-(-s // step) * step for r in found for s in range(r["a"], r["b"])}):
-                    d = xxhash.xxh3_128_intdigest(x[s + left : s + left + size])
-                    for name, v in zip(out, (g, c, s, (d >> 64) - (1 << 63), (d & (2**64 - 1)) - (1 << 63))):
-                        out[name].append(v)
-            return out
-
-        return map_arrow(frame.select("g", "c", "left", "x", where), run, "g long, c long, s int, h1 long, h2 long")
-
-    def shared(every: DataFrame) -> DataFrame:
-        return every.groupBy("g", "s", "h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-
-    parts = strings(rows, "all", n - STEP + 1, STEP)
-    alive = parts.join(shared(parts), ["g", "s", "h1", "h2"], "left_semi").groupBy("g", "c").agg(F.collect_list("s").alias("s"))
-
-    def left_of(column: str) -> Column:
-        starts = F.flatten(F.transform(F.filter(column, lambda r: r["b"] > r["a"]), lambda r: F.sequence(r["a"], r["b"] - 1)))
-        kept = F.filter(starts, lambda s: F.exists("s", lambda y: (s <= y) & (s > y - STEP)))
-        return F.transform(kept, lambda s: F.struct(s.alias("a"), (s + 1).alias("b"))).cast(ranges)
-
-    rows = materialise(rows.join(alive, ["g", "c"]).select("g", "c", "left", "x", left_of("open").alias("open"), left_of("all").alias("all")), "open")
-    asked = rows.select("g", F.explode("open").alias("r")).groupBy("g").agg(F.collect_set("r").alias("asked"))  # w starts at most
-    every = strings(rows.join(asked, "g").withColumn("all", F.array_intersect("all", "asked")), "all", n, 1)
-    exact = strings(rows.where(F.size("open") > 0), "open", n, 1).join(shared(every), ["g", "s", "h1", "h2"], "left_semi")
-    return exact.groupBy("g", "c").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: F.struct(s.alias("a"), (s + n).alias("b"))).alias("spans"))
-
-
-def repeat_spans(docs: DataFrame, n: int = LENGTH, k: int = GRAM, bucket: int = BUCKET) -> DataFrame:
+def repeat_spans(docs: DataFrame, n: int = LENGTH, k: int = GRAM, step: int = STEP, chunk: int = CHUNK) -> DataFrame:
     """doc_id, t (digest of the text), spans: for each document with repeats, sorted disjoint byte ranges [a, b) that repeats cover."""
     w = n - k + 1
     found = materialise(anchor_rows(docs, n, k), "anchors")
-    kinds = materialise(found.groupBy("g", "c").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "t", "p")).alias("one")).select("g", "c", (F.col("copies") > 1).alias("many"), "one"), "contexts")
-    grams = kinds.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g", F.ceil(F.col("n") / bucket).cast("int").alias("blocks"))
-    wanted = kinds.join(grams, "g").select(F.col("one.doc_id").alias("doc_id"), F.col("one.t").alias("t"), F.col("one.p").alias("p"), "g", "c", "many", "blocks")
-    solved = materialise(solve(contexts(docs, wanted, n, k), n), "solved")
-    every = F.array(F.struct(F.lit(1 - w).alias("a"), F.lit(n).alias("b"))).cast("array<struct<a:int,b:int>>")
-    spans = kinds.where("many").select("g", "c", every.alias("spans")).union(solved.where(F.size("spans") > 0).select("g", "c", "spans"))
-    split = solved.where(F.col("x").isNotNull())
-    if not split.isEmpty():
-        spans = spans.union(across_blocks(split, n))
-    hit = found.join(spans, ["g", "c"]).select("doc_id", "t", F.transform("spans", lambda r: F.struct(F.greatest(F.lit(0), F.col("p") + r["a"]).alias("a"), (F.col("p") + r["b"]).alias("b"))).alias("spans"))
-    return hit.groupBy("doc_id", "t").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def without_repeats(docs: DataFrame, n: int = LENGTH, k: int = GRAM, bucket: int = BUCKET) -> DataFrame:
+    kinds = materialise(found.groupBy("g", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "t", "p")).alias("one")).select("g", "c1", "c2", (F.col("copies") > 1).alias("many"), "one"), "contexts")
+    grams = kinds.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    wanted = kinds.join(grams, "g", "left_semi").select("one.*", "c1", "c2")
+    place = ["k1", "k2", "follows", "before"]
+    ordered = suffixes(docs, wanted, n, k, step).repartitionByRange(*place).sortWithinPartitions(*place)
+    held = materialise(scanned(ordered, step, chunk), "suffixes")
+    place = ["n1", "n2", "before"]
+    members = materialise(left_extended(intervals(held, step).repartitionByRange(*place).sortWithinPartitions(*place), n, step, chunk), "intervals")
+    edges = members.where(F.col("edge").isNotNull()).collect()  # two rows a chunk
+    beyond = docs.sparkSession.createDataFrame(across(edges, n, step), "c1 long, c2 long, a int, b int")
+    whole = kinds.where("many").select("c1", "c2", F.lit(1 - w).alias("a"), F.lit(n).alias("b"))
+    ranges = members.where(F.col("edge").isNull()).select("c1", "c2", "a", "b").union(beyond).union(whole)
+    spans = ranges.groupBy("c1", "c2").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    hit = found.join(spans, ["c1", "c2"]).select("doc_id", "t", F.transform("spans", lambda r: F.struct(F.greatest(F.lit(0), F.col("p") + r["a"]).alias("a"), (F.col("p") + r["b"]).alias("b"))).alias("spans"))
+    done = materialise(hit.groupBy("doc_id", "t").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
+    for table in (found, kinds, held, members):
+        drop_table(table)
+    return done
+
+
+def without_repeats(docs: DataFrame, n: int = LENGTH, k: int = GRAM, step: int = STEP, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans for each row of docs."""
-    spans = repeat_spans(docs, n, k, bucket)
-    source = docs.select(F.col("doc_id").alias("__id"), text_key()[1].alias("__t"), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
-    both = source.join(spans, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__t") == F.col("t")), "left").select(F.col("__id").alias("doc_id"), "b", "spans")
+    spans = repeat_spans(docs, n, k, step, chunk)
+    source = docs.select(F.col("doc_id").alias("id_"), text_key()[1].alias("t_"), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
+    both = source.join(spans, F.col("id_").eqNullSafe(F.col("doc_id")) & (F.col("t_") == F.col("t")), "left").select(F.col("id_").alias("doc_id"), "b", "spans")
     schema = extended(both.select("doc_id").schema, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<a:int,b:int>>")
 
     def rows(batch: pa.RecordBatch) -> dict:

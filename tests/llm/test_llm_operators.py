@@ -19,6 +19,10 @@ def word(rng):
     return "".join(rng.choice("abcdeéß中") for _ in range(rng.randint(1, 6)))
 
 
+def text_of(rng, n):
+    return "".join(rng.choice("abcd ") for _ in range(n))
+
+
 def make_docs():
     rng = random.Random(11)
     text = lambda n: " ".join(word(rng) for _ in range(n))
@@ -98,13 +102,22 @@ def test_decontamination(docs, none, spark):
     assert decontaminate.clean_documents(docs, items).count() == sum(not r[5] for r in want)
 
 
-@pytest.mark.parametrize("bucket", [1024, 2])
-def test_suffix_repeats(docs, none, bucket):
-    same(suffix_repeats.without_repeats(docs, bucket=bucket).drop("removed"), brute.op3(DOCS))
-    if bucket == 2:
+@pytest.mark.parametrize("chunk", [1 << 18, 7, 1])
+def test_suffix_repeats(docs, none, chunk):
+    same(suffix_repeats.without_repeats(docs, chunk=chunk).drop("removed"), brute.op3(DOCS))
+    if chunk == 7:
         assert suffix_repeats.without_repeats(none).count() == 0
 
 
+def test_one_gram_in_thousands_of_contexts(spark):
+    rng = random.Random(9)
+    head, gram, tail = (text_of(rng, n) for n in (150, 60, 150))
+    docs = [(i, text_of(rng, 260)[: rng.randrange(260)] + head[rng.randrange(150) :] + gram + tail[: rng.randrange(150)] + text_of(rng, 260)) for i in range(5200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    for chunk in (1 << 18, 300):
+        same(suffix_repeats.without_repeats(frame, chunk=chunk).drop("removed"), brute.op3(docs))
+
+
 def test_quality(docs, none):
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     done = quality.assess(docs)
