@@ -7,7 +7,10 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+#: Largest estimated size of what is broadcast; larger sides are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +37,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of what is unreachable now
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,6 +54,37 @@ def drop_table(df: DataFrame) -> None:
         drop_path(df.sparkSession, files[0].rpartition("/")[0])
 
 
+def spare(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores after it as make it none of the taken ones, in either case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def content_key() -> list[Column]:
+    """What makes two rows the same document: id_, hash_ and size_."""
+    text = F.coalesce("text", F.lit(""))
+    return [F.col("doc_id").alias("id_"), F.xxhash64(text).alias("hash_"), F.octet_length(text).alias("size_")]
+
+
+def broadcast_if_small(side: DataFrame, row_bytes: Column) -> DataFrame:
+    """side, marked for broadcast if its estimated size is within the bound; read once to find out."""
+    return F.broadcast(side) if (side.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES else side
+
+
+def by_content(docs: DataFrame, side: DataFrame, how: str, row_bytes: Column) -> tuple[DataFrame, list[Column]]:
+    """docs joined with a written side (id_, hash_, size_ and more) by content, and the side's further columns, under names that docs doesn't have."""
+    names = dict(zip(side.columns, spare(docs.columns, *side.columns)))
+    side = broadcast_if_small(side, row_bytes).select(*[F.col(c).alias(n) for c, n in names.items()])
+    text = F.coalesce("text", F.lit(""))
+    on = F.col("doc_id").eqNullSafe(F.col(names["id_"])) & (F.xxhash64(text) == F.col(names["hash_"])) & (F.octet_length(text) == F.col(names["size_"]))
+    return docs.join(side, on, how), [F.col(n) for c, n in names.items() if c not in ("id_", "hash_", "size_")]
+
+
 def map_arrow(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: T.StructType | str) -> DataFrame:
     """mapInArrow with a function from one batch to columns (a dict of lists or arrays)."""
     if isinstance(schema, str):
