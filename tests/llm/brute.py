@@ -111,6 +111,53 @@ def op5(docs):
     return out
 
 
+def op5_spans(text, scope=200):
+    """All spans and links of one text, every part against every other."""
+    kinds = [
+        ("assign", ASSIGN, lambda m: len(m[2]) >= 6, "secret", True),
+        ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20, "identifier", True),
+        ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24, "secret", True),
+        ("identity", re.compile(r"""(?:user(?:_?name)?|login|client_?id|account_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]+""", re.I | re.A), lambda m: len(m[0]) >= 6, "identifier", False),
+        ("key", re.compile("[A-Za-z0-9+/]{24,}={0,2}"), lambda m: re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]), "secret", False),
+        ("endpoint", re.compile(r"""(?:https?|jdbc:[a-z]+|ftp|redis|amqp|mongodb)://[^\x00-\x20"'<>]+"""), lambda m: len(m[0]) >= 8, "endpoint", False),
+    ]
+    parts = sorted((m.start(), k, m.end()) for k, (_, p, ok, _, _) in enumerate(kinds) for m in p.finditer(text) if ok(m))
+    names = [k[0] for k in kinds]
+    value = {x for i, x in enumerate(parts) if names[x[1]] == "key" and any(names[y[1]] == "identity" and y[2] > x[0] for y in parts[:i])}
+
+    def near(x, role):
+        i, best = parts.index(x), None
+        others = [(j, y) for j, y in enumerate(parts) if j != i and y not in value and kinds[y[1]][3] == role]
+        back = max(((y[2], y[0]) for j, y in others if j < i), default=None)
+        ahead = min((y for j, y in others if j > i), default=None)
+        if back is not None:
+            best = (x[0] - back[0], back[1])
+        if ahead is not None and (best is None or ahead[0] - x[2] < best[0]):
+            best = (ahead[0] - x[2], ahead[0])
+        return best[1] if best and best[0] <= scope else None
+
+    told, links = [], []
+    for x in parts:
+        _, _, _, role, base = kinds[x[1]]
+        by = {r: near(x, r) for r in ("identifier", "secret", "endpoint")}
+        over = any(kinds[y[1]][4] and y != x and y[0] < x[2] and x[0] < y[2] for y in parts)
+        found = by["identifier"] is not None or by["endpoint"] is not None if role == "secret" else by["secret"] is not None
+        if base or (x not in value and found and not over):
+            told.append(x)
+            if role == "secret" and (by["identifier"] is not None or by["endpoint"] is not None):
+                links.append(":".join("-" if y is None else str(y) for y in (x[0], by["identifier"], by["endpoint"])))
+    return ",".join(f"{names[k]}:{s}:{e}" for s, k, e in told), ",".join(links)
+
+
+def redacted(text):
+    out, at = "", 0
+    for s, e in sorted(tuple(map(int, x.split(":")[1:])) for x in op5_spans(text)[0].split(",") if x):
+        if s >= at:
+            out += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    return out + text[at:]
+
+
 def op6(docs, tokenizer):
     out, start = [], 0
     for d, text in docs:
