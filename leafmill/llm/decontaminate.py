@@ -3,14 +3,16 @@
 Words: A-Z lower-cased, runs of digits, a-z and characters beyond ASCII. A window is `n` consecutive words of a benchmark item; an
 item of fewer words, but not none, is one window. Windows are hashed and broadcast as a long-keyed hash table; every window
 of a document of the same word counts is hashed and probed while it streams by, and a hit is verified word by word.
-The broadcast side is bounded: beyond `broadcast_windows` windows the set is dealt into parts by hash, and the documents' words,
-written once, stream past one part after another.
+The broadcast side holds hashes and windows only, and its size is measured: beyond `broadcast_bytes` the set is dealt into parts
+by hash, and the documents' words, written once, stream past one part after another. Items meet the windows that were hit, not
+the documents.
 
 A document's hits meet again in an aggregation by row, combined before the shuffle; documents without hits
 ride on a sentinel window, so that one scan and one shuffle of small rows give all results.
 
 Defined cases: null text and text without words have no windows and are clean; an item without id can contaminate
-but is not named; repeated rows give repeated rows; empty tables give an empty table or clean documents.
+but is not named; repeated rows give repeated rows; empty tables give an empty table or clean documents. Further columns may have any
+names: contamination() ignores them, clean_documents() keeps them.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafmill.llm.common import materialise
+from leafmill.llm.common import BROADCAST_BYTES, by_content, content_key, materialise
 
 N = 10
-BROADCAST_WINDOWS = 400_000
+#: Estimated bytes of a row of the hash table beside its window.
+ROW_BYTES = 64
 #: Words after A-Z are lower-cased; a fixed value.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,63 +48,62 @@ def windows_of(w: Column, n: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, n: int = N) -> DataFrame:
-    """h, window (words with spaces between), items (ids) for each distinct window of the items."""
+    """item_id, h, n, window (words with spaces between) for each window of the items, repeats included."""
     w = items.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     size = F.least(F.size("w"), F.lit(n))
     every = w.select("item_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - size + 1), lambda i: F.slice("w", i, size))).alias("x"))
-    return every.groupBy(F.xxhash64("x").alias("h"), F.array_join("x", " ").alias("window"), F.size("x").alias("n")).agg(F.collect_set("item_id").alias("items"))
+    return every.select("item_id", F.xxhash64("x").alias("h"), F.size("x").alias("n"), F.array_join("x", " ").alias("window"))
+
+
+def window_id(window: Column) -> Column:
+    """128 bits that stand for a window."""
+    return F.unhex(F.md5(window))
 
 
 def hits(docs: DataFrame, found: DataFrame, sizes: list[int]) -> DataFrame:
-    """docs (columns kept, with words w) once for each verified hit, and once without one: i, n, items (nulls without one)."""
-    w = F.col("w")
+    """docs (columns kept, with words w) once for each verified hit, and once without one: i__, n__, window__ (nulls without one)."""
     first = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("n"), F.lit(SENTINEL).cast("long").alias("h")))
-    windows = docs.withColumn("__x", F.explode(F.concat(first, *[windows_of(w, n) for n in sizes])))
-    windows = windows.withColumns({"__i": F.col("__x.i"), "__n": F.col("__x.n"), "__h": F.col("__x.h")})
-    spark = docs.sparkSession
-    sentinel = spark.range(1).select(F.lit(SENTINEL).cast("long").alias("h"), F.lit(None).cast("string").alias("window"), F.lit(0).alias("n"), F.lit(None).cast(found.schema["items"].dataType).alias("items"))
-    side = F.broadcast(found.union(sentinel).select(F.col("h").alias("__bh"), F.col("window").alias("__window"), F.col("items").alias("__items")))
-    text = F.array_join(F.slice("w", F.greatest("__i", F.lit(1)), F.col("__n")), " ")
+    windows = docs.withColumn("x__", F.explode(F.concat(first, *[windows_of(F.col("w"), n) for n in sizes])))
+    windows = windows.withColumns({"i__": F.col("x__.i"), "n__": F.col("x__.n"), "h__": F.col("x__.h")})
+    sentinel = docs.sparkSession.range(1).select(F.lit(SENTINEL).cast("long").alias("h"), F.lit(None).cast("string").alias("window"))
+    side = F.broadcast(found.select("h", "window").union(sentinel).select(F.col("h").alias("set__"), F.col("window").alias("window__")))
+    text = F.array_join(F.slice("w", F.greatest("i__", F.lit(1)), F.col("n__")), " ")
     # both ways of containment, not equality, which would turn the text into a join key to be made for every window
-    same = (F.col("__n") == 0) & F.col("__window").isNull() | text.contains(F.col("__window")) & F.col("__window").contains(text)
-    return windows.join(side, (F.col("__h") == F.col("__bh")) & same).drop("__x", "__h", "__bh", "__window")
+    same = (F.col("n__") == 0) & F.col("window__").isNull() | text.contains(F.col("window__")) & F.col("window__").contains(text)
+    return windows.join(side, (F.col("h__") == F.col("set__")) & same).drop("x__", "h__", "set__")
+
 
+def all_hits(base: DataFrame, every: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """hits() of documents (with words w) and all windows, in as many parts as the bound of the broadcast asks for."""
+    distinct = every.select("h", "n", "window").distinct()
+    size = F.octet_length("window") + ROW_BYTES
+    bounds = distinct.groupBy("n").agg(F.sum(size).alias("bytes")).collect()  # n rows at most
+    sizes, parts = [r["n"] for r in bounds], max(1, -(-sum(r["bytes"] for r in bounds) // broadcast_bytes))
+    if parts == 1:
+        return hits(base, distinct, sizes)
+    base = materialise(base, "words")
+    return reduce(DataFrame.union, [hits(base, distinct.where(F.pmod("h", F.lit(parts)) == p), sizes) for p in range(parts)])
 
-def contamination(docs: DataFrame, items: DataFrame, n: int = N, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+
+def contamination(docs: DataFrame, items: DataFrame, n: int = N, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and items (ids) for each row of docs."""
-    found = materialise(benchmark_windows(items, n), "windows")
-    total = found.count()
-    sizes = [r["n"] for r in found.select("n").distinct().collect()]  # n values at most
-    base = docs.select("doc_id", F.monotonically_increasing_id().alias("__row"), words(F.col("text")).alias("w"))
-    parts = max(1, -(-total // broadcast_windows))
-    if parts > 1:
-        base = materialise(base, "words")
-        rows = reduce(DataFrame.union, [hits(base, found.where(F.pmod("h", F.lit(parts)) == p), sizes) for p in range(parts)])
-    else:
-        rows = hits(base, found, sizes)
-    rows = rows.select("doc_id", "__row", F.size("w").cast("long").alias("n_words"), F.when(F.col("__n") > 0, F.struct(F.col("__i").alias("i"), F.col("__n").alias("n"))).alias("hit"), F.col("__items").alias("items"))
-    byrow = rows.groupBy("__row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_set("hit").alias("hits"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    every = materialise(benchmark_windows(items, n), "windows")
+    base = docs.select("doc_id", F.monotonically_increasing_id().alias("row__"), words(F.col("text")).alias("w"))
+    hit = F.when(F.col("n__") > 0, F.struct(F.col("i__").alias("i"), F.col("n__").alias("n")))
+    rows = materialise(all_hits(base, every, broadcast_bytes).select("doc_id", "row__", F.size("w").cast("long").alias("n_words"), hit.alias("hit"), window_id(F.col("window__")).alias("id")), "hits")
+    byrow = rows.groupBy("row__").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_set("hit").alias("hits"))
+    ids = every.where(F.col("item_id").isNotNull()).select(window_id(F.col("window")).alias("id"), "item_id").distinct()
+    told = rows.where(F.col("id").isNotNull()).select("row__", "id").distinct().join(ids, "id").groupBy("row__").agg(F.collect_set("item_id").alias("items"))
     covered = F.aggregate(F.array_sort("hits"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("next")), lambda a, h: F.struct((a["n"] + F.greatest(F.lit(0).cast("long"), h["i"] + h["n"] - F.greatest(a["next"], h["i"].cast("long")))).alias("n"), F.greatest(a["next"], (h["i"] + h["n"]).cast("long")).alias("next")), lambda a: a["n"])
+    none = F.array().cast(told.schema["items"].dataType)
+    done = byrow.join(told, "row__", "left").withColumn("items", F.coalesce("items", none))
     named = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return byrow.select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(named, 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"), "items")
-
-
-def content_key(docs: DataFrame) -> list[Column]:
-    """What makes two rows of docs the same document."""
-    return [F.col("doc_id").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text"), F.octet_length(F.coalesce("text", F.lit(""))).alias("__size")]
-
-
-def clean_documents(docs: DataFrame, items: DataFrame, n: int = N) -> DataFrame:
-    """docs without the documents that hold any window of an item."""
-    found = materialise(benchmark_windows(items, n), "windows")
-    sizes = [r["n"] for r in found.select("n").distinct().collect()]
-    base = docs.select(*content_key(docs), words(F.col("text")).alias("w"))
-    parts = max(1, -(-found.count() // BROADCAST_WINDOWS))
-    out = docs
-    for p in range(parts):
-        part = found if parts == 1 else found.where(F.pmod("h", F.lit(parts)) == p)
-        bad = hits(base, part, sizes).where(F.col("__n") > 0).select("__id", "__text", "__size").distinct()
-        keyed = out.select("*", *[k.alias(f"{n}k") for k, n in zip(content_key(out), ("__id", "__text", "__size"))])
-        on = (F.col("__textk") == F.col("__text")) & F.col("__idk").eqNullSafe(F.col("__id")) & (F.col("__sizek") == F.col("__size"))
-        out = keyed.join(bad, on, "left_anti").drop("__idk", "__textk", "__sizek")
-    return out
+    return done.select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(named, 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"), "items")
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, n: int = N, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """docs without the documents that hold any window of an item; what goes is decided on keys, and texts are not shuffled for a few of them."""
+    every = materialise(benchmark_windows(items, n), "windows")
+    base = docs.select(*content_key(), words(F.col("text")).alias("w"))
+    found = all_hits(base, every, broadcast_bytes).where(F.col("n__") > 0).select("id_", "hash_", "size_").distinct()
+    return by_content(docs, materialise(found, "contaminated"), "left_anti", F.lit(64))[0]
