@@ -135,16 +135,16 @@ def anchor_rows(docs: DataFrame, n: int, k: int) -> DataFrame:
 
 
 def suffixes(docs: DataFrame, wanted: DataFrame, n: int, k: int, step: int) -> DataFrame:
-    """c1, c2 (context), place, k1, k2 (core), follows, before (read backwards) of the suffixes of wanted contexts: rows of doc_id, t, p, c1, c2."""
+    """c1, c2 (context), many, place, k1, k2 (core), follows, before (read backwards) of the suffixes of wanted contexts: rows of doc_id, t, p, c1, c2, many."""
     w, core = n - k + 1, n - step + 1
-    asked = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("p", "c1", "c2")).alias("asked"))
+    asked = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("p", "c1", "c2", "many")).alias("asked"))
     source = docs.select(F.col("doc_id").alias("id_"), text_key()[1].alias("t_"), F.coalesce("text", F.lit("")).cast("binary").alias("b"))
     both = source.join(asked, F.col("id_").eqNullSafe(F.col("doc_id")) & (F.col("t_") == F.col("t"))).select("b", "asked")
     places = range(0, -w, -step)
     seeds = {place: i for i, place in enumerate(places)}
 
     def rows(batch: pa.RecordBatch) -> dict:
-        c1, c2, at, cores, follows, before = [], [], [], [], [], []
+        c1, c2, many, at, cores, follows, before = [], [], [], [], [], [], []
         digest = xxhash.xxh3_128_digest
         for data, asks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             size = len(data)
@@ -158,14 +158,15 @@ def suffixes(docs: DataFrame, wanted: DataFrame, n: int, k: int, step: int) -> D
                         continue
                     c1.append(a["c1"])
                     c2.append(a["c2"])
+                    many.append(a["many"])
                     at.append(place)
                     cores.append(digest(data[x:y], seeds[place]))
                     follows.append(data[y : min(end, y + step - 1)])
                     before.append(data[max(first, x - step + 1) : x][::-1])
         keys = np.frombuffer(b"".join(cores), "<i8").reshape(-1, 2)
-        return {"c1": c1, "c2": c2, "place": at, "k1": keys[:, 0], "k2": keys[:, 1], "follows": follows, "before": before}
+        return {"c1": c1, "c2": c2, "many": many, "place": at, "k1": keys[:, 0], "k2": keys[:, 1], "follows": follows, "before": before}
 
-    return map_arrow(both, rows, "c1 long, c2 long, place int, k1 long, k2 long, follows binary, before binary")
+    return map_arrow(both, rows, "c1 long, c2 long, many boolean, place int, k1 long, k2 long, follows binary, before binary")
 
 
 def chunked(frame: DataFrame, size: int, solve: Callable[[pa.Table, int], pa.Table], schema: str) -> DataFrame:
@@ -234,7 +235,7 @@ def stacks(lcp: list[int]) -> list[int]:
     return out
 
 
-SCANNED = "c1 long, c2 long, place int, k1 long, k2 long, follows binary, before binary, own long, chunk long, to_first int, to_last int, border array<long>"
+SCANNED = "c1 long, c2 long, many boolean, place int, k1 long, k2 long, follows binary, before binary, own long, chunk long, to_first int, to_last int, border array<long>"
 
 
 def scanned(sorted_rows: DataFrame, step: int, size: int) -> DataFrame:
@@ -291,7 +292,7 @@ def carried(borders: list) -> list[tuple[int, int, int]]:
 
 
 def intervals(rows: DataFrame, step: int) -> DataFrame:
-    """One row for each suffix and interval that holds it: c1, c2, place, n1, n2 (interval), q (bytes after the core that its members share), before."""
+    """One row for each suffix and interval that holds it: c1, c2, many, place, n1, n2 (interval), q (bytes after the core that its members share), before."""
     spark = rows.sparkSession
     borders = rows.where(F.col("border").isNotNull()).select("chunk", "k1", "k2", "follows", "border").collect()  # two rows a chunk
     carries = spark.createDataFrame(carried(borders), "chunk long, from_left long, from_right long")
@@ -305,12 +306,12 @@ def intervals(rows: DataFrame, step: int) -> DataFrame:
     every = every.withColumn("held", F.col("own").bitwiseOR(seen("from_left", "to_first")).bitwiseOR(seen("from_right", "to_last")))
     # an interval with q bytes after the core needs step - 1 - q before it
     lengths = F.filter(F.sequence(F.greatest(F.lit(0), F.lit(step - 1) - F.length("before")), F.lit(step - 1)), lambda q: F.col("held").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), q)) != 0)
-    each = every.select("c1", "c2", "place", "k1", "k2", "follows", "before", F.explode(lengths).alias("q"))
+    each = every.select("c1", "c2", "many", "place", "k1", "k2", "follows", "before", F.explode(lengths).alias("q"))
     shared = F.substring("follows", F.lit(1), F.col("q"))
-    return each.select("c1", "c2", "place", F.xxhash64("k1", "k2", "q", shared).alias("n1"), F.xxhash64(F.lit(1), shared, "q", "k2", "k1").alias("n2"), "q", "before")
+    return each.select("c1", "c2", "many", "place", F.xxhash64("k1", "k2", "q", shared).alias("n1"), F.xxhash64(F.lit(1), shared, "q", "k2", "k1").alias("n2"), "q", "before")
 
 
-EXTENDED = "c1 long, c2 long, a int, b int, edge struct<chunk: long, last: boolean, n1: long, n2: long, before: binary, place: int, q: int>"
+EXTENDED = "c1 long, c2 long, many boolean, a int, b int, edge struct<chunk: long, last: boolean, n1: long, n2: long, before: binary, place: int, q: int>"
 
 
 def left_extended(sorted_rows: DataFrame, n: int, step: int, size: int) -> DataFrame:
@@ -322,13 +323,14 @@ def left_extended(sorted_rows: DataFrame, n: int, step: int, size: int) -> DataF
         lcp = neighbours(keys, matrix(rows.column("before"), step - 1))
         e = np.maximum(np.concatenate([[-1], lcp]), np.concatenate([lcp, [-1]]))
         place, q = (rows.column(c).to_numpy() for c in ("place", "q"))
-        good = np.flatnonzero(e >= step - 1 - q)
+        many = rows.column("many").to_numpy()
+        good = np.flatnonzero((e >= step - 1 - q) & ~many)  # contexts that repeat as a whole are only what others repeat
         ends = np.array([0, len(e) - 1])
         take = np.concatenate([good, ends])
         edge = [None] * len(good) + [{"chunk": chunk, "last": last, **{c: rows.column(c)[int(i)].as_py() for c in ("n1", "n2", "before", "place", "q")}} for i, last in zip(ends, (False, True))]
         kind = pa.struct([("chunk", pa.int64()), ("last", pa.bool_()), ("n1", pa.int64()), ("n2", pa.int64()), ("before", pa.binary()), ("place", pa.int32()), ("q", pa.int32())])
         told = {"a": (place - e)[take].astype(np.int32), "b": (place + core + q)[take].astype(np.int32), "edge": pa.array(edge, kind)}
-        return pa.table({c: rows.column(c).take(pa.array(take)) for c in ("c1", "c2")} | told)
+        return pa.table({c: rows.column(c).take(pa.array(take)) for c in ("c1", "c2", "many")} | told)
 
     return chunked(sorted_rows, size, solve, EXTENDED)
 
@@ -362,20 +364,24 @@ def repeat_spans(docs: DataFrame, n: int = LENGTH, k: int = GRAM, step: int = ST
     found = materialise(anchor_rows(docs, n, k), "anchors")
     kinds = materialise(found.groupBy("g", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "t", "p")).alias("one")).select("g", "c1", "c2", (F.col("copies") > 1).alias("many"), "one"), "contexts")
     grams = kinds.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    wanted = kinds.join(grams, "g", "left_semi").select("one.*", "c1", "c2")
+    wanted = kinds.join(grams, "g", "left_semi").select("one.*", "c1", "c2", "many")
     place = ["k1", "k2", "follows", "before"]
     ordered = suffixes(docs, wanted, n, k, step).repartitionByRange(*place).sortWithinPartitions(*place)
     held = materialise(scanned(ordered, step, chunk), "suffixes")
     place = ["n1", "n2", "before"]
-    members = materialise(left_extended(intervals(held, step).repartitionByRange(*place).sortWithinPartitions(*place), n, step, chunk), "intervals")
-    edges = members.where(F.col("edge").isNotNull()).collect()  # two rows a chunk
+    members = left_extended(intervals(held, step).repartitionByRange(*place).sortWithinPartitions(*place), n, step, chunk)
+    # all strings of a context hold its gram, so what repeats of it is one range
+    ranges = materialise(members.groupBy("c1", "c2", "many").agg(F.min(F.when(F.col("edge").isNull(), F.col("a"))).alias("a"), F.max(F.when(F.col("edge").isNull(), F.col("b"))).alias("b"), F.collect_list("edge").alias("edges")), "ranges")
+    edges = ranges.where(F.size("edges") > 0).select("c1", "c2", F.explode("edges").alias("edge")).collect()  # two rows a chunk
     beyond = docs.sparkSession.createDataFrame(across(edges, n, step), "c1 long, c2 long, a int, b int")
     whole = kinds.where("many").select("c1", "c2", F.lit(1 - w).alias("a"), F.lit(n).alias("b"))
-    ranges = members.where(F.col("edge").isNull()).select("c1", "c2", "a", "b").union(beyond).union(whole)
-    spans = ranges.groupBy("c1", "c2").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    hit = found.join(spans, ["c1", "c2"]).select("doc_id", "t", F.transform("spans", lambda r: F.struct(F.greatest(F.lit(0), F.col("p") + r["a"]).alias("a"), (F.col("p") + r["b"]).alias("b"))).alias("spans"))
-    done = materialise(hit.groupBy("doc_id", "t").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
-    for table in (found, kinds, held, members):
+    own = ranges.where("a is not null").select("c1", "c2", "a", "b").union(beyond).groupBy("c1", "c2").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    spans = materialise(own.join(whole.select("c1", "c2"), ["c1", "c2"], "left_anti").union(whole), "ranges")
+    for table in (kinds, held, ranges):
+        drop_table(table)
+    hit = found.join(spans, ["c1", "c2"]).select("doc_id", "t", F.greatest(F.lit(0), F.col("p") + F.col("a")).alias("a"), (F.col("p") + F.col("b")).alias("b"))
+    done = materialise(hit.groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    for table in (found, spans):
         drop_table(table)
     return done
 

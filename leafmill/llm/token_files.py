@@ -35,6 +35,9 @@ LENGTH = 1024
 BATCH_ROWS = 256
 REMEMBERED = 400_000
 
+#: Marks that are a pre-token of their own after letters.
+CLOSING = frozenset(".,;:!?")
+
 #: The pre-tokeniser of the byte-level vocabularies; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -46,6 +49,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Remembered(dict):
+    """Values by key, made when first asked for."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class UnitEncoder:
     """Texts to bytes of little-endian unsigned 32-bit ids.
 
@@ -59,43 +74,42 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.pieces = regex.compile(PATTERN).findall
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
+        self.split = regex.compile(PATTERN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes | None] = {}
-        self.known_pieces: dict[str, bytes] = {}
+        self.mixed = not any(map(str.isalpha, self.special))  # then letters alone hold no special token
+        self.units, self.pieces = Remembered(self.unit), Remembered(self.piece)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def piece(self, x: str) -> bytes:
+        """Ids of one pre-token."""
+        letters = x.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
     def unit(self, x: str) -> bytes | None:
         """Ids of a space and x; None if the space may belong to what is before it, or x may hold a special token."""
+        if self.mixed:
+            if x.isalpha():
+                return self.pieces[" " + x]
+            if x[-1:] in CLOSING and x[:-1].isalpha():
+                return self.pieces[" " + x[:-1]] + self.pieces[x[-1]]
         if not x or x[0].isspace() or x[-1].isspace() or any(s in x for s in self.special):
             return None
-        known = self.known_pieces
-        out = b""
-        for piece in [" " + x] if x.isalpha() else self.pieces(" " + x):
-            ids = known.get(piece)
-            if ids is None:
-                letters = piece.encode().decode("latin-1").translate(self.letters)
-                ids = known[piece] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            out += ids
-        return out
+        return b"".join(map(self.pieces.__getitem__, self.split(" " + x)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [x.split(" ") for x in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.known_pieces = {}, {}
-            new = set().union(*split)
-        known = self.known
-        known.update((x, self.unit(x)) for x in new)
-        out = []
-        for text, (first, *rest) in zip(texts, split):
+        out, unit = [], self.units.__getitem__
+        for text in texts:
+            first, *rest = text.split(" ")
             try:
-                out.append(self.whole(first) + b"".join([known[x] for x in rest]) if rest and not first[-1:].isspace() else self.whole(text))
+                out.append(self.whole(first) + b"".join(map(unit, rest)) if rest and not first[-1:].isspace() else self.whole(text))
             except TypeError:  # a unit that is None
                 out.append(self.whole(text))
+            for known in (self.units, self.pieces):
+                if len(known) > REMEMBERED:
+                    known.clear()
         return out
 
 
