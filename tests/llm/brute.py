@@ -173,3 +173,64 @@ def op9(docs, encoding):
         ids = encoding.encode_ordinary(text or "")
         out.append((d, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha(text or "")))
     return out
+
+
+def op8(docs, unit, least, reach=4):
+    """(doc_id, removed, kept text) of each document: units are found by walking over characters and words."""
+    def sentences(text):
+        out, cur = [], ""
+        for i, c in enumerate(text):
+            cur += c
+            if c == "\n" or (unit != "line" and c in ".!?…" and text[i + 1 : i + 2].isspace()):
+                out.append(cur)
+                cur = ""
+        return [*out, cur]
+
+    def parts(sentence):
+        if unit != "piece":
+            return [sentence]
+        w = list(re.finditer(r"[^\W_]+", sentence))
+        h = [zlib.crc32(m[0].casefold().encode()) for m in w]
+        cuts, last = [0], None
+        for i in range(reach, len(w) - reach):
+            if h[i] < min(h[i - reach : i] + h[i + 1 : i + reach + 1]):
+                cuts.append(w[i].start())
+        return [sentence[a:b] for a, b in zip(cuts, [*cuts[1:], len(sentence)])]
+
+    def norm(x):
+        return " ".join(re.findall(r"[^\W_]+", x.casefold()))
+
+    every = []
+    for d, text in docs:
+        found, at = [], 0
+        for u in (p for s in sentences(text or "") for p in parts(s)):
+            if norm(u):
+                found.append((at, at + len(u), norm(u)))
+            at += len(u)
+        every.append(found)
+    rank = sorted(range(len(docs)), key=lambda i: (docs[i][0] is not None, docs[i][0] or 0, xx(docs[i][1])))
+    first = {}
+    for i in rank:
+        for s, _, x in every[i]:
+            first.setdefault(x, (docs[i][0], docs[i][1] or "", s))
+    out = []
+    for (d, text), found in zip(docs, every):
+        text, runs, run = text or "", [], []
+        for u in [*found, None]:
+            if u is not None and first[u[2]] != (d, text, u[0]):
+                run.append(u)
+                continue
+            if run and sum(x.count(" ") + 1 for *_, x in run) >= least:
+                runs.append((run[0][0], run[-1][1]))
+            run = []
+        kept, at = "", 0
+        for a, b in runs:
+            kept, at = kept + text[at:a], b
+        out.append((d, ",".join(f"{a}:{b}" for a, b in runs), kept + text[at:]))
+    return out
+
+
+def xx(text):
+    """Spark's xxhash64 of a text, signed: it ranks documents of one doc_id."""
+    x = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return x - (1 << 64) if x >> 63 else x

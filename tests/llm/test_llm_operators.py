@@ -208,22 +208,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["predicted"] for r in toxicity.toxicity(d, y.limit(0)).collect()} == {0}
 
 
-def test_unit_dedup(docs, none):
-    done = unit_dedup.deduplicated(docs)
-    seen = {}
-    for d, text in sorted(DOCS, key=lambda x: (x[0] is not None, x[0] or 0)):
-        for a, b, norm in unit_dedup.units(text or "", "sentence", unit_dedup.LEAST_WORDS):
-            seen.setdefault(norm, []).append((d, a, b))
-    texts = {r["doc_id"]: r for r in done.collect()}
-    assert texts[70]["n_removed_units"] > 0 and texts[0]["n_removed_units"] == 0
-    for d, text in DOCS:
-        if d is not None:
-            cut = [tuple(map(int, s.split(":"))) for s in texts[d]["removed"].split(",") if s]
-            left, at = "", 0
-            for a, b in cut:
-                left, at = left + text[at:a], b
-            assert left + (text or "")[at:] == texts[d]["text"]
-    assert done.count() == len(DOCS) and unit_dedup.deduplicated(none).count() == 0
+@pytest.mark.parametrize("unit, least", [("line", 1), ("sentence", 5), ("piece", 30), ("piece", 1)])
+def test_unit_dedup(docs, none, unit, least):
+    done = unit_dedup.deduplicated(docs, unit, least)
+    same(done.select("doc_id", "removed", "text"), brute.op8(DOCS, unit, least))
+    assert done.where("n_chars_in - n_removed_chars <> length(text)").count() == 0
+    if unit == "line":
+        assert unit_dedup.deduplicated(none).count() == 0 and done.agg({"n_removed_units": "sum"}).first()[0] > 0
 
 
 @pytest.mark.parametrize("chunk", [65536, 40])

@@ -7,8 +7,8 @@ from leafmill.llm import unit_dedup
 
 def test_short_units_repeat(spark):
     docs = [(1, "One text here.\nAll rights reserved.\n"), (2, "Another text.\nAll rights reserved.\n"), (3, "...\n"), (4, "...\n")]
-    got = {r["doc_id"]: r["text"] for r in unit_dedup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == {1: docs[0][1], 2: "Another text.\n\n", 3: "...\n", 4: "...\n"}
+    got = {r["doc_id"]: r["text"] for r in unit_dedup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string"), "line", 1).collect()}
+    assert got == {1: docs[0][1], 2: "Another text.\n", 3: "...\n", 4: "...\n"}
 
 
 def test_pasted_passages_resynchronise(spark):
