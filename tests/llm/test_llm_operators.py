@@ -217,13 +217,13 @@ def test_unit_dedup(docs, none, unit, least):
         assert unit_dedup.deduplicated(none).count() == 0 and done.agg({"n_removed_units": "sum"}).first()[0] > 0
 
 
-@pytest.mark.parametrize("chunk", [65536, 40])
-def test_bpe(docs, none, chunk):
+@pytest.mark.parametrize("chunk, spread", [(4096, 65536), (40, 65536), (40, 100)])
+def test_bpe(docs, none, chunk, spread):
     path = P.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     e = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    same(bpe.encoded(docs, path, P.PATTERN, chunk=chunk, overlap=16), brute.op9(DOCS, e))
-    if chunk == 40:
+    same(bpe.encoded(docs, path, P.PATTERN, chunk=chunk, overlap=16, spread=spread), brute.op9(DOCS, e))
+    if spread == 100:
         assert bpe.encoded(none, path, P.PATTERN).count() == 0
 
 
