@@ -10,12 +10,13 @@ trimming improves. A segment of score S among n tokens has the expectation E = K
 distribution; lambda solves sum p(s) exp(lambda s) = 1 and K is fitted on clean training documents. A document's evidence sums
 ln(1/E) over its significant segments (E below one), and a logistic function calibrates it.
 
-The lexicon is learnt on one half of the training rows, the calibration on the other. Training takes `LABELLED` rows at most, chosen by a
-hash of doc_id; that bounds the fitted model and what the driver sees. Everything else covers all documents.
-Labels, lang, source and doc_id are never inputs of a score.
+Training takes `LABELLED` rows at most, chosen by a hash of doc_id; that bounds the fitted model and what the driver sees. The lexicon is
+learnt on all of them, and the calibration by cross-fitting: each half is scored by the lexicon of the other half. Everything else covers
+all documents. Labels, lang, source and doc_id are never inputs of a score.
 
 Defined cases: null text is empty and scores as a text without passages; labels of null doc_id or null class are not used; of several
-labels of a document the largest holds; without labels of both classes every score is 0; repeated rows give repeated rows.
+labels of a document the largest holds; without labels of both classes every score is 0; repeated rows give repeated rows; an empty
+table gives an empty table. Further columns may have any names: toxicity() ignores them, civil() keeps them.
 """
 
 from __future__ import annotations
@@ -28,10 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafmill.llm.common import drop_table, map_arrow, materialise
+from leafmill.llm.common import drop_table, extended, map_arrow, materialise, spare
 
 LABELLED = 30_000
-LEXICON = 20_000
 PRIOR = 2_000.0
 MARGIN = 0.3
 REMEMBERED = 500_000
@@ -54,24 +54,28 @@ def held_out(doc_id: Column) -> Column:
 
 
 def segments(scores: list[float]) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (begin, end, score), in linear time for few candidates at once: Ruzzo and Tompa's scan."""
-    found: list[list] = []  # begin, end, cumulative score left of it, cumulative score at its end
+    """All maximal scoring segments (begin, end, score) in linear time: Ruzzo and Tompa's scan.
+
+    Each candidate knows the last one before it that starts from a smaller total, so the search for where a new one joins skips all
+    others, and what it passes over is not passed again.
+    """
+    found: list[tuple[int, int, float, float, int]] = []  # begin, end, total left of it, total at its end, the last one with a smaller left total
     total = 0.0
     for i, s in enumerate(scores):
         before, total = total, total + s
         if s <= 0:
             continue
-        new = [i, i + 1, before, total]
+        begin, left, j = i, before, len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
+            while j >= 0 and found[j][2] >= left:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= total:
+                found.append((begin, i + 1, left, total, j))
                 break
-            new = [found[j][0], new[1], found[j][2], new[3]]
+            begin, _, left, _, after = found[j]
             del found[j:]
-    return [(b, e, r - l) for b, e, l, r in found]
+            j = after
+    return [(b, e, r - l) for b, e, l, r, _ in found]
 
 
 class Scanner:
@@ -126,12 +130,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     n = usable.count()
     if n > bound:
         usable = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int((1 << 30) * bound / n))
-    side = usable.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
+    side = usable.select(F.col("doc_id").alias("id_"), F.col("toxic").cast("int").alias("toxic"))
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.join(F.broadcast(side), F.col("doc_id") == F.col("__id")).select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("fold"))
+    return rows.join(F.broadcast(side), F.col("doc_id") == F.col("id_")).select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("fold"))
 
 
-def lexicon(rows: DataFrame, most: int = LEXICON) -> tuple[list, float, float]:
+def lexicon(rows: DataFrame) -> tuple[list, float, float]:
     """(token, log-odds, clean rate per token) of the tokens kept, the log-odds of the rest and the clean rate of the rest."""
 
     def count(batch: pa.RecordBatch) -> dict:
@@ -153,7 +157,7 @@ def lexicon(rows: DataFrame, most: int = LEXICON) -> tuple[list, float, float]:
     part = lambda y, n: F.when(y > 0, y * F.log(y * (n0 + n1) / (both * n))).otherwise(F.lit(0.0))
     ratio = F.sqrt(F.greatest(F.lit(0.0), 2 * (part(F.col("toxic"), n1) + part(F.col("clean"), n0))))
     least = math.sqrt(2 * math.log(max(v, 2))) + MARGIN
-    kept = counts.select("token", "clean", "toxic", delta.alias("delta"), ratio.alias("z")).where((F.col("delta") > 0) & (F.col("z") >= least)).orderBy(F.desc("z"), "token").limit(most).collect()
+    kept = counts.select("token", "clean", "toxic", delta.alias("delta"), ratio.alias("z")).where((F.col("delta") > 0) & (F.col("z") >= least)).collect()  # tokens of bound rows that stand out
     drop_table(counts)
     p0 = sum(r["clean"] for r in kept) / n0
     p1 = sum(r["toxic"] for r in kept) / n1
@@ -186,24 +190,36 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fitted(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
-    rows = materialise(training_rows(docs, labels, bound), "labelled")
-    kept, rest, clean_rest = lexicon(rows.where("fold = 0").dropDuplicates(["text", "toxic"]))
+def learnt(rows: DataFrame) -> Model:
+    """Lexicon and lambda from training rows; the calibration is open."""
+    kept, rest, clean_rest = lexicon(rows.dropDuplicates(["text", "toxic"]))
     model = Model({t: s for t, s, _ in kept}, rest)
     if kept:
         model.lam = karlin([(s, max(p, 1e-9)) for _, s, p in kept] + [(rest, clean_rest)])
+    return model
+
 
-    def best(batch: pa.RecordBatch) -> dict:
+def segment_scores(rows: DataFrame, model: Model) -> list:
+    """toxic, n (units) and lambda times the scores of the segments of each training row: bound rows at most."""
+
+    def found(batch: pa.RecordBatch) -> dict:
         scan = Scanner(model)
-        found = [scan.passages(t) for t in batch.column(0).to_pylist()]
-        return {"toxic": batch.column(1), "n": [n for _, n in found], "scores": [[s for _, _, s in x] for x, _ in found]}
+        each = [scan.passages(t) for t in batch.column(0).to_pylist()]
+        return {"toxic": batch.column(1), "n": [n for _, n in each], "scores": [[model.lam * s for _, _, s in x] for x, _ in each]}
+
+    return map_arrow(rows.select("text", "toxic"), found, "toxic int, n long, scores array<double>").collect()
+
 
-    sample = map_arrow(rows.where("fold = 1").select("text", "toxic"), best, "toxic int, n long, scores array<double>").collect()  # bound rows at most
+def fitted(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
+    rows = materialise(training_rows(docs, labels, bound), "labelled")
+    model = learnt(rows)
+    halves = [(rows.where(F.col("fold") == i), learnt(rows.where(F.col("fold") != i))) for i in (0, 1)]
+    sample = [r for half, other in halves for r in segment_scores(half, other)]
     clean = [(max(r["scores"], default=0.0), r["n"]) for r in sample if r["toxic"] == 0 and r["n"]]
-    if clean and len(clean) < len(sample):
+    if clean and any(r["toxic"] for r in sample) and all(other.lexicon for _, other in halves):
         # the best segment of a clean document has an expectation of about one: K is what makes that so
-        model.k = float(np.exp(np.median([model.lam * s - math.log(n) for s, n in clean])))
-        ev = np.array([sum(max(0.0, model.lam * s - math.log(max(model.k * r["n"], 1e-300))) for s in r["scores"]) for r in sample])
+        model.k = float(np.exp(np.median([s - math.log(n) for s, n in clean])))
+        ev = np.array([sum(max(0.0, s - math.log(max(model.k * r["n"], 1e-300))) for s in r["scores"]) for r in sample])
         model.a, model.b = logistic(ev, np.array([r["toxic"] for r in sample], float))
     drop_table(rows)
     return model
@@ -212,13 +228,14 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with the score of each text."""
     columns = docs.columns
-    source = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias("__toxicity_text"))
+    (own,) = spare(columns, "text_")
+    source = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias(own))
 
     def rows(batch: pa.RecordBatch) -> dict:
         scan = scanner(model)
         return {c: batch.column(i) for i, c in enumerate(columns)} | {name: [scan.score(t) for t in batch.column(len(columns)).to_pylist()]}
 
-    return map_arrow(source, rows, docs.schema.add(name, "double"))
+    return map_arrow(source, rows, extended(docs.schema, f"`{name}` double"))
 
 
 _scanners: dict[int, Scanner] = {}
@@ -240,4 +257,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataF
 
 def civil(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFrame:
     """docs without those whose score is 0.5 or more."""
-    return scored(docs, fitted(docs, labels, bound), "__score").where(F.col("__score") < 0.5).drop("__score")
+    (score,) = spare(docs.columns, "score")
+    return scored(docs, fitted(docs, labels, bound), score).where(F.col(score) < 0.5).drop(score)
