@@ -7,7 +7,7 @@ of the shingles' XXH64 values (seed 42).
 Two fingerprints link at `radius` or fewer differing bits. All exact copies share a fingerprint, so the search runs
 over distinct fingerprints. Cut the 64 bits into b blocks: two fingerprints at most r bits apart agree on at
 least b - r whole blocks, so every choice of b - r blocks is a shard key and each linked pair meets in a shard.
-b grows with the number of distinct fingerprints, so that a shard holds a few of them at any input size. A task builds a
+b grows with the number of distinct fingerprints, so that a shard holds some `SHARD` of them at any input size. A task builds a
 BK-tree per shard (children keyed by their integer Hamming distance to the parent) and probes it along edges within
 the radius only. A shard above `tree_rows` is split into blocks, and the tree of each block is sent to every
 later block of its shard, so a tree has a proven bound. Trees travel by shuffle: sending them through the driver
@@ -31,12 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from leafmill.llm import near_copies
-from leafmill.llm.common import drop_table, map_arrow, materialise
+from leafmill.llm.common import broadcast_if_small, drop_table, extended, map_arrow, materialise, spare
 
 SEED = 42
 RADIUS = 4
 SHINGLE = 4
 TREE_ROWS = 4096
+#: Fingerprints of a shard at most, if they are spread evenly.
+SHARD = 64
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -68,8 +70,9 @@ def signed(x: int) -> int:
 def with_fingerprints(docs: DataFrame, name: str = "fp", keep: list[str] | None = None) -> DataFrame:
     """docs (or the columns in keep) with the fingerprint as a signed long."""
     keep = docs.columns if keep is None else keep
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__simhash_text"))
-    schema = source.select(*[f"`{c}`" for c in keep]).schema.add(name, "long")
+    (own,) = spare([*keep, name], "text_")
+    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias(own))
+    schema = extended(docs.select(*[f"`{c}`" for c in keep]).schema, f"`{name}` long")
 
     def rows(batch: pa.RecordBatch) -> dict:
         seen: dict[str | None, int] = {}
@@ -118,9 +121,9 @@ class BKTree:
 
 
 def blocks_for(distinct: int, radius: int) -> int:
-    """Fewest blocks whose shards hold about four fingerprints each at most, if those are spread evenly."""
+    """Fewest blocks whose shards hold SHARD fingerprints each at most, if those are spread evenly."""
     for b in range(radius + 1, radius + 5):
-        if distinct <= 4 * 2 ** (64 * (b - radius) / b):
+        if distinct <= SHARD * 2 ** (64 * (b - radius) / b):
             return b
     return radius + 4
 
@@ -234,10 +237,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of near copies (see near_copies): the smallest doc_id, and one of its rows where it repeats within the group."""
-    columns = docs.columns
-    rows = materialise(near_copies.with_nodes(docs), "nodes")
-    nodes = materialise(rows.groupBy(F.col("__node").alias("fp")).agg(F.min("doc_id").alias("doc_id")), "fingerprints")
-    found = named(nodes, near_copies.edges(rows))
-    kept = rows.join(found.select(F.col("fp").alias("__node"), F.col("component").alias("__component"), F.col("component_id").alias("__id")), "__node").where(F.col("doc_id").eqNullSafe(F.col("__id")))
-    return kept.dropDuplicates(["__component"]).select(*[F.col(f"`{c}`") for c in columns])
+    """docs with one row of each group of near copies (see near_copies): the smallest doc_id, and one of its rows where it repeats within the group.
+
+    What goes is decided on keys. All columns stay as they are, whatever their names; nulls and empty texts are copies of each other.
+    """
+    node, row = spare(docs.columns, "node", "row")
+    rows = materialise(near_copies.with_nodes(docs, node).withColumn(row, F.monotonically_increasing_id()), "nodes")
+    slim = rows.select(F.col(node).alias("fp"), F.col(row).alias("row"), "doc_id")
+    nodes = materialise(slim.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fingerprints")
+    found = named(nodes, near_copies.edges(rows.select(F.col(node).alias("node"), "text")))
+    known = slim.join(found, "fp").select("component", "row", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("least"))
+    kept = known.where("least").groupBy("component").agg(F.min("row").alias("kept"))
+    gone = materialise(known.join(kept, "component").where("row <> kept").select(F.col("row").alias("gone")), "gone")
+    (gone_row,) = spare(rows.columns, "gone")
+    side = broadcast_if_small(gone, F.lit(24)).withColumnRenamed("gone", gone_row)
+    return rows.join(side, F.col(row) == F.col(gone_row), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
