@@ -234,3 +234,53 @@ def xx(text):
     """Spark's xxhash64 of a text, signed: it ranks documents of one doc_id."""
     x = xxhash.xxh64_intdigest((text or "").encode(), 42)
     return x - (1 << 64) if x >> 63 else x
+
+
+def kept(text):
+    """The verdict of the quality rules."""
+    (_, n, chars, symbols, dup, _, failed), = op4([(0, text)])
+    w = S.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if S.search(x)]
+    letters = sum(any(c.isalpha() for c in x) for x in w)
+    bad = 2 * symbols > n or chars < 2 * n or chars > 15 * n or (len(lines) >= 4 and 2 * dup > len(lines)) or 50 * len(set(w)) < n or 2 * letters < n
+    return not failed and not bad
+
+
+def feistel(x, n, key, rounds):
+    """A permutation of 0..n-1: a balanced network over twice as many bits as half the domain needs, walked until the value is below n."""
+    bits = max(1, ((max(n, 2) - 1).bit_length() + 1) // 2)
+    low, word = (1 << bits) - 1, (1 << 64) - 1
+
+    def f(v, k):
+        v = (v + k) * 0x9E3779B97F4A7C15 & word
+        v ^= v >> 31
+        v = v * 0xBF58476D1CE4E5B9 & word
+        return v ^ v >> 29
+
+    while True:
+        left, right = x >> bits, x & low
+        for r in range(rounds):
+            left, right = right, left ^ (f(right, key * 31 + r) & low)
+        x = left << bits | right
+        if x < n:
+            return x
+
+
+def toxic_score(text, model):
+    """Maximal segments by definition: the best interval, then the best ones on either side of it."""
+    import math
+
+    w = (text or "").lower().split()
+    s = [sum(model.lexicon.get(t, 0.0) for t in re.findall(r"[^\W\d_]+", x)) or model.rest for x in w]
+
+    def segments(a, b):
+        best = max(((sum(s[i:j]), -(j - i), -i) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, 0, 0))
+        if best[0] <= 1e-12:
+            return []
+        i = -best[2]
+        j = i - best[1]
+        return [*segments(a, i), best[0], *segments(j, b)]
+
+    base = math.log(model.k * len(w)) if w else 0.0
+    evidence = sum(max(0.0, model.lam * x - base) for x in segments(0, len(w)))
+    return 1 / (1 + math.exp(-(model.a + model.b * evidence)))

@@ -12,7 +12,9 @@ from tokenizers import Tokenizer
 
 from leafmill.llm import bpe, decontaminate, quality, secrets, sharding, simhash, suffix_repeats, token_files, toxicity, unit_dedup
 
-ALL = "doc_id long, text string, fp long, k string, __x string, words int"
+#: Extra columns, with the names that operators use for themselves.
+EXTRA = ["fp", "node", "row", "score", "id_", "hash_", "size_", "spans", "gone", "text_", "k", "w", "Place", "n_words", "start", "component", "items", "__id", "b"]
+ALL = "doc_id long, text string, " + ", ".join(f"{c} {'int' if i % 2 else 'string'}" for i, c in enumerate(EXTRA))
 
 
 def word(rng):
@@ -41,7 +43,7 @@ ITEMS = [(1, DOCS[0][1][:200]), (2, "one two three"), (3, None), (None, DOCS[6][
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(d, t, 1, "k", None, 5) for d, t in DOCS], ALL).repartition(3)
+    return spark.createDataFrame([(d, t, *[None if i == 2 else 5 if i % 2 else "s" for i in range(len(EXTRA))]) for d, t in DOCS], ALL).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -244,3 +246,46 @@ def test_permutation(n):
     p = sharding.permuted(np.arange(n), n)
     assert sorted(p.tolist()) == list(range(n))
     assert all(sharding.row_at(*sharding.locate(i, n), n) == i for i in range(min(n, 50)))
+
+
+def test_stages_keep_columns_of_any_name(docs, none, spark):
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(60)], "doc_id long, toxic int, quality int")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    stages = {"civil": lambda d: toxicity.civil(d, labels), "distinct": simhash.deduplicate, "clean": lambda d: decontaminate.clean_documents(d, items), "redacted": secrets.redacted}
+    for name, stage in stages.items():
+        schema = docs.schema.simpleString()
+        done = stage(docs)
+        assert done.schema.simpleString() == schema == docs.schema.simpleString(), name
+        assert 0 < done.count() <= len(DOCS) and stage(none).count() == 0, name
+        extra = done.select(*EXTRA).distinct().collect()
+        assert len(extra) == 1, name
+
+
+def test_quality_verdict_and_order(docs):
+    rules = quality.RULES
+    kept = {r["doc_id"]: r for r in quality.assess(docs).collect()}
+    other = {r["doc_id"]: r["kept"] for r in quality.assess(docs, dict(reversed(rules.items())), sample_rows=3).collect()}
+    assert {d: r["kept"] for d, r in kept.items()} == other
+    same(quality.assess(docs).select("doc_id", "kept"), [(d, brute.kept(t)) for d, t in DOCS])
+    assert quality.planned(docs) == quality.planned(docs)
+
+
+def test_numbers_stay_when_shards_do(docs):
+    """Shard and slot are those of the Feistel network, walked by hand, at the row's number in the order of doc_id, checksum and size."""
+    rows = sorted(((d is not None, d or 0, brute.zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for d, t in DOCS))
+    want = []
+    for number, (known, d, crc, size) in enumerate(rows):
+        p = brute.feistel(number, len(rows), sharding.KEY, sharding.ROUNDS)
+        want.append((d if known else None, size, crc, "rows", p % 8, p // 8, None))
+    same(sharding.shuffled_shards(docs), want)
+
+
+def test_toxic_scores_by_every_interval(spark):
+    """Evidence from all maximal segments, found by trying every interval of a text."""
+    rng = random.Random(12)
+    model = toxicity.Model({"vile": 3.0, "scum": 2.0, "mild": 0.4}, -0.5, 1.1, 0.02, -2.0, 0.7)
+    texts = [" ".join(rng.choice(["vile", "scum", "mild", "a", "b", "c!", "d1"]) for _ in range(rng.randrange(16))) for _ in range(40)] + ["", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(frame, model).collect()}
+    for i, t in enumerate(texts):
+        assert abs(got[i] - brute.toxic_score(t, model)) < 1e-9
