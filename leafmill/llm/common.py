@@ -36,9 +36,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage is cut, and the data outlives any executor."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
+    del df
     spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of what is unreachable now
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -363,8 +363,11 @@ def repeat_spans(docs: DataFrame, n: int = LENGTH, k: int = GRAM, step: int = ST
     w = n - k + 1
     found = materialise(anchor_rows(docs, n, k), "anchors")
     kinds = materialise(found.groupBy("g", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "t", "p")).alias("one")).select("g", "c1", "c2", (F.col("copies") > 1).alias("many"), "one"), "contexts")
-    grams = kinds.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    wanted = kinds.join(grams, "g", "left_semi").select("one.*", "c1", "c2", "many")
+    grams = materialise(kinds.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")
+    wanted = materialise(kinds.join(grams, "g", "left_semi").select("one.*", "c1", "c2", "many"), "wanted")
+    many = materialise(kinds.where("many").select("c1", "c2"), "many")
+    for table in (found, kinds, grams):
+        drop_table(table)
     place = ["k1", "k2", "follows", "before"]
     ordered = suffixes(docs, wanted, n, k, step).repartitionByRange(*place).sortWithinPartitions(*place)
     held = materialise(scanned(ordered, step, chunk), "suffixes")
@@ -374,15 +377,15 @@ def repeat_spans(docs: DataFrame, n: int = LENGTH, k: int = GRAM, step: int = ST
     ranges = materialise(members.groupBy("c1", "c2", "many").agg(F.min(F.when(F.col("edge").isNull(), F.col("a"))).alias("a"), F.max(F.when(F.col("edge").isNull(), F.col("b"))).alias("b"), F.collect_list("edge").alias("edges")), "ranges")
     edges = ranges.where(F.size("edges") > 0).select("c1", "c2", F.explode("edges").alias("edge")).collect()  # two rows a chunk
     beyond = docs.sparkSession.createDataFrame(across(edges, n, step), "c1 long, c2 long, a int, b int")
-    whole = kinds.where("many").select("c1", "c2", F.lit(1 - w).alias("a"), F.lit(n).alias("b"))
+    whole = many.select("c1", "c2", F.lit(1 - w).alias("a"), F.lit(n).alias("b"))
     own = ranges.where("a is not null").select("c1", "c2", "a", "b").union(beyond).groupBy("c1", "c2").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    spans = materialise(own.join(whole.select("c1", "c2"), ["c1", "c2"], "left_anti").union(whole), "ranges")
-    for table in (kinds, held, ranges):
+    spans = materialise(own.join(many, ["c1", "c2"], "left_anti").union(whole), "ranges")
+    for table in (wanted, many, held, ranges):
         drop_table(table)
-    hit = found.join(spans, ["c1", "c2"]).select("doc_id", "t", F.greatest(F.lit(0), F.col("p") + F.col("a")).alias("a"), (F.col("p") + F.col("b")).alias("b"))
+    # anchors are found again: kept through both sorts they would take more disk than any other table
+    hit = anchor_rows(docs, n, k).join(spans, ["c1", "c2"]).select("doc_id", "t", F.greatest(F.lit(0), F.col("p") + F.col("a")).alias("a"), (F.col("p") + F.col("b")).alias("b"))
     done = materialise(hit.groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
-    for table in (found, spans):
-        drop_table(table)
+    drop_table(spans)
     return done
 
 
