@@ -47,7 +47,7 @@ GRAM = 40
 #: Starts that one suffix serves; a stack of prefix lengths 0..STEP - 1 fits into 64 bits.
 STEP = 54
 #: Rows of the sorted suffixes that one scan holds; it reports its borders to the driver.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 #: Positions that one pass of the anchor search covers; with the overlap fewer than 2 ** 20.
 PASS = 1 << 19
 
