@@ -53,6 +53,14 @@ class Spark:
     def replaced(self, x: str, pattern: str, by: str) -> str:
         return f"regexp_replace({x}, '{pattern}', '{by}')"
 
+    def letters(self, x: str) -> str:
+        """How many letters, of any script, a text has."""
+        return f"regexp_count({x}, r'\\pL')"
+
+    def differing(self, a: str, b: str) -> str:
+        """Places at which two texts of one length differ."""
+        return f"size(filter(sequence(1, greatest(length({a}), 1)), i -> substr({a}, i, 1) <> substr({b}, i, 1)))"
+
     def sha1(self, x: str) -> str:
         return f"sha1({x})"
 
@@ -171,6 +179,12 @@ class Duck(Spark):
     def replaced(self, x, pattern, by):
         return f"regexp_replace({x}, '{pattern}', '{by}', 'g')"
 
+    def letters(self, x):
+        return f"length(regexp_replace({x}, '[^\\pL]', '', 'g'))"
+
+    def differing(self, a, b):
+        return f"cast(len([i for i in range(1, length({a}) + 1) if substr({a}, i, 1) <> substr({b}, i, 1)]) as int)"
+
     def sha256(self, x):
         return f"sha256({x})"
 

@@ -25,6 +25,21 @@ def as_whole(d, x):
 
 # --- text -------------------------------------------------------------------------------------------------------------
 
+#: A run of white space, of any script; the characters stand for themselves, so that both engines read them alike.
+BLANKS = "[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
+def accented() -> tuple[str, str]:
+    """Latin letters with marks, and the letters that decomposition leaves of them."""
+    import unicodedata
+
+    plain = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])}
+    pairs = [(c, x) for c, x in plain.items() if len(x) == 1 and x != c and x.isascii()]
+    return "".join(c for c, _ in pairs), "".join(x for _, x in pairs)
+
+
+MARKED, UNMARKED = accented()
+
 
 def clean_line(d, x):
     """A recognised line for parsing: upper case, no spaces, quotation glyphs read as fillers."""
@@ -53,7 +68,11 @@ def given_part(d, x):
 
 
 def squeezed(d, x):
-    return f"trim({d.replaced(x, '[ ]+', ' ')})"
+    return f"trim({d.replaced(x, BLANKS, ' ')})"
+
+
+def unaccented(d, x):
+    return f"translate({x}, '{MARKED}', '{UNMARKED}')"
 
 
 def value_trimmed(d, x):
@@ -68,6 +87,11 @@ def pattern(d, x):
     return d.replaced(d.replaced(d.replaced(x, "[^A-Z0-9]", "?"), "[A-Z]", "A"), "[0-9]", "9")
 
 
+def hamming(d, a, b):
+    """Differing places of two texts of one length; 999 for other lengths."""
+    return f"case when length({a}) = length({b}) then {d.differing(a, b)} else 999 end"
+
+
 def hamming3(d, a, b):
     """Differing places of two codes of three characters; 999 for other lengths."""
     each = " + ".join(f"case when substr({a}, {i}, 1) <> substr({b}, {i}, 1) then 1 else 0 end" for i in (1, 2, 3))
@@ -85,18 +109,24 @@ def passport_normal(d, x):
 
 def name_valid(d, x):
     y = value_trimmed(d, x)
-    return f"(length({y}) >= 2 and length({d.replaced(y, '[^A-Za-z]', '')}) >= 2 and {slash_date(d, y)} is null)"
+    return f"(length({y}) >= 2 and {d.letters(y)} >= 2 and {slash_date(d, y)} is null)"
+
+
+def nationality_valid(d, x):
+    y = value_trimmed(d, x)
+    return f"(length({y}) >= 2 and {d.letters(y)} >= 1 and {slash_date(d, y)} is null)"
 
 
 def comparable(d, field, x, family):
     """A field's value as its family of comparisons sees it: consistency, evaluation, sampling, audit or expansion."""
     up = squeezed(d, f"upper({x})")
     if family == "consistency":
+        bare = unaccented(d, x)
         if field == "passport_number":
-            return d.replaced(f"upper({x})", "[^A-Z0-9]", "")
+            return d.replaced(f"upper({bare})", "[^A-Z0-9]", "")
         if field in ("surname", "given_names", "nationality"):
-            return squeezed(d, d.replaced(f"upper({x})", "[^A-Z0-9]+", " "))
-        return f"left(upper(trim({x})), 1)" if field == "sex" else f"trim({x})"
+            return squeezed(d, d.replaced(f"upper({bare})", "[^A-Z0-9]+", " "))
+        return f"left(upper(trim({bare})), 1)" if field == "sex" else f"trim({x})"
     if family == "evaluation":
         return f"trim({x})" if field.startswith("date") else up
     if family == "sampling":
@@ -188,7 +218,27 @@ def issue_score(d, a, b):
     is_below = f"{down} between -{d.num(0.35)} * {h} and {d.num(4.5)} * {h} and ({overlap(a, b)} >= {d.num(0.1)} or abs({center(a, 'x')} - {center(b, 'x')}) <= greatest({width(a)}, cast(180 as double)))"
     right_score = f"34 - 3 * greatest(cast(0 as double), {right}) / {h}"
     below_score = f"31 - 4 * greatest(cast(0 as double), {down}) / {h} + least(cast(10 as double), 10 * {overlap(a, b)})"
-    return f"case when {is_right} and {is_below} then greatest({right_score}, {below_score}) when {is_right} then {right_score} when {is_below} then {below_score} end"
+    return f"case when {is_right} then {right_score} when {is_below} then {below_score} end"
+
+
+def union_box(a, b):
+    """x1, y1, x2, y2 around two boxes; of one that is missing, the other."""
+    return tuple(f"{'least' if c in ('x1', 'y1') else 'greatest'}(coalesce({a}.{c}, {b}.{c}), coalesce({b}.{c}, {a}.{c}))" for c in ("x1", "y1", "x2", "y2"))
+
+
+def moved(dx, dy, p=""):
+    """x1, y1, x2, y2 of a box as seen from a crop whose corner is at dx, dy."""
+    return tuple(f"{p}{c} - {dx if c[0] == 'x' else dy}" for c in ("x1", "y1", "x2", "y2"))
+
+
+#: Padding of a page, and of a zone across and down, as parts of width and height; fixed values.
+PAGE_PADDING, ZONE_PADDING = (0.03, 0.03), (0.015, 0.18)
+
+
+def padded(d, share, w, h, p=""):
+    """x1, y1, x2, y2 of a box with padding in proportion, within an image of width w and height h."""
+    x, y = (d.rounded(f"cast(({p}{c}2 - {p}{c}1) * {d.num(s)} as double)", 0) for c, s in zip("xy", share))
+    return f"greatest({d.num(0)}, {p}x1 - {x})", f"greatest({d.num(0)}, {p}y1 - {y})", f"least({w}, {p}x2 + {x})", f"least({h}, {p}y2 + {y})"
 
 
 def rotated(angle, w, h, p=""):

@@ -55,7 +55,11 @@ def indexed(d, rows):
 
 @operator
 def merged_split(d, base, added):
-    """Rows of both tables where no sample is doubled and no identity changes split; else the offending rows, marked."""
-    bad = f"select a.sample_id, case when b.sample_id = a.sample_id then 'duplicate_sample' else 'identity_in_other_split' end as refused from {added} as a join {base} as b on a.sample_id = b.sample_id or (a.identity_id = b.identity_id and a.split <> b.split)"
-    one = f"select sample_id, min(refused) as refused from ({bad}) as q group by sample_id"
-    return f"select sample_id, identity_id, split, cast(null as {'string' if d.name == 'spark' else 'varchar'}) as refused from {base} union all select a.sample_id, a.identity_id, a.split, o.refused from {added} as a left join ({one}) as o on a.sample_id = o.sample_id"
+    """Rows of both tables if no sample is doubled and no identity changes split; else the rows of base alone, and the offending rows, marked. The merge is refused whole."""
+    twice = f"select a.sample_id, 'duplicate_sample' as refused from {added} as a join {base} as b on a.sample_id = b.sample_id"
+    own = f"select sample_id, 'duplicate_sample' as refused from {added} group by sample_id having count(*) > 1"
+    moved = f"select a.sample_id, 'identity_in_other_split' as refused from {added} as a join {base} as b on a.identity_id = b.identity_id where a.split <> b.split"
+    bad = f"select sample_id, min(refused) as refused from ({twice} union all {own} union all {moved}) as q group by sample_id"
+    none = f"cast(null as {'string' if d.name == 'spark' else 'varchar'})"
+    return f"""select sample_id, identity_id, split, {none} as refused from {base} union all select a.sample_id, a.identity_id, a.split, o.refused
+        from {added} as a left join ({bad}) as o on a.sample_id = o.sample_id cross join (select count(*) as n from ({bad}) as q) as c where c.n = 0 or o.refused is not null"""

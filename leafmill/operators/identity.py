@@ -8,6 +8,8 @@ from leafmill.operators.fusion import CORE
 
 GOOD = "('verified', 'strong', 'high', 'medium')"
 STRONG = "('verified', 'strong', 'high')"
+#: Columns of a queue that hold work done by hand.
+PROGRESS = ["identity_id", "annotation_status", "propagated_from_sample_id", "split", "notes", *[f"gt_{f}" for f in CORE]]
 
 
 @operator
@@ -104,7 +106,9 @@ def unseen(d, rows, truth):
     """Suggested identities none of whose members is known by sample, passport number, or surname with both dates."""
     norm = lambda f, t: S.comparable(d, f, f"{t}.{f}", "sampling")
     triple = lambda t: f"{norm('surname', t)} || '|' || {norm('date_of_birth', t)} || '|' || {norm('date_of_expiry', t)}"
-    known = [f"select r.suggested_id from {rows} as r join {truth} as t on r.sample_id = t.sample_id", f"select r.suggested_id from {rows} as r join {truth} as t on {norm('passport_number', 'r')} = {norm('passport_number', 't')}", f"select r.suggested_id from {rows} as r join {truth} as t on {triple('r')} = {triple('t')}"]
+    full = lambda t, *fields: " and ".join(f"coalesce({norm(f, t)}, '') <> ''" for f in fields)  # noqa: E731  blanks know nobody
+    ids, three = f"select r.suggested_id from {rows} as r join {truth} as t on ", ("surname", "date_of_birth", "date_of_expiry")
+    known = [f"{ids}r.sample_id = t.sample_id", f"{ids}{norm('passport_number', 'r')} = {norm('passport_number', 't')} where {full('r', 'passport_number')}", f"{ids}{triple('r')} = {triple('t')} where {full('r', *three)}"]
     return f"select r.suggested_id, cast(count(*) as bigint) as members from {rows} as r left anti join ({' union '.join(known)}) as k on r.suggested_id = k.suggested_id group by r.suggested_id" if d.name == "spark" else f"select suggested_id, cast(count(*) as bigint) as members from {rows} where suggested_id not in ({' union '.join(known)}) group by suggested_id"
 
 
@@ -116,6 +120,13 @@ def propagated(d, queue, anchors):
         from {queue} as q left join {anchors} as a on q.suggested_id = a.suggested_id"""
 
 
+@operator
+def propagation_counts(d, queue, anchors):
+    """For each anchor that was verified, the rows that its values reach, and an error where its identity is not in the queue."""
+    n = "cast(count(q.sample_id) as bigint)"
+    return f"select a.suggested_id, {n} as affected, case when count(q.sample_id) = 0 then 'unknown identity' end as error from {anchors} as a left join {queue} as q on a.suggested_id = q.suggested_id group by a.suggested_id"
+
+
 @operator
 def exported(d, queue):
     """Truth rows: verified or propagated ones with an identity."""
@@ -132,6 +143,8 @@ def progress(d, queue):
 @operator
 def extended(d, fresh, existing):
     """A fresh queue that keeps the progress of an existing one, then the existing rows that are no longer in it."""
-    kept = f"select f.sample_id, f.suggested_id, coalesce(e.annotation_status, f.annotation_status) as annotation_status, e.sample_id is not null as preserved from {fresh} as f left join {existing} as e on f.sample_id = e.sample_id"
-    rest = f"select e.sample_id, e.suggested_id, e.annotation_status, true as preserved from {existing} as e left join {fresh} as f on e.sample_id = f.sample_id where f.sample_id is null"
+    # what an existing row says holds, also where it says nothing
+    cols = ", ".join(f"case when e.sample_id is not null then e.{c} else f.{c} end as {c}" for c in PROGRESS)
+    kept = f"select f.sample_id, f.suggested_id, {cols}, e.sample_id is not null as preserved from {fresh} as f left join {existing} as e on f.sample_id = e.sample_id"
+    rest = f"select e.sample_id, e.suggested_id, {', '.join(f'e.{c}' for c in PROGRESS)}, true as preserved from {existing} as e left join {fresh} as f on e.sample_id = f.sample_id where f.sample_id is null"
     return f"select * from ({kept}) as a union all select * from ({rest}) as b"

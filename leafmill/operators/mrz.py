@@ -148,7 +148,7 @@ def candidate_scores(d, checked):
     n = "(case when coalesce(line_1, '') <> '' then 1 else 0 end + case when coalesce(line_2, '') <> '' then 1 else 0 end)"
     score = f"""case when {n} = 0 then cast(-1000 as double) else case when {n} = 2 then 100 else -30 * abs({n} - 2) end
         - 3 * abs(coalesce(length(line_1), 44) - 44) - 3 * abs(coalesce(length(line_2), 44) - 44) - {d.num(0.5)} * abs(coalesce(length(line_1), 0) + coalesce(length(line_2), 0) - 88)
-        + case when length(line_1) = 44 and length(line_2) = 44 then 120 else 0 end + 20 * confidence + {valid}
+        + case when length(line_1) = 44 and length(line_2) = 44 then 120 else 0 end + case when assembly_method = 'geometry_two_rows' then 12 else 0 end + 20 * confidence + {valid}
         + case when final_check_valid then 60 else 0 end + case when all_main_checks_valid then 180 else 0 end end"""
     strong = "coalesce(length(line_1) = 44 and length(line_2) = 44 and all_main_checks_valid, false)"
     return f"select sample_id, variant, vi, {d.rounded(score, 6)} as candidate_score, {strong} as strong from {checked}"

@@ -2,66 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.functions.dialect import DUCK, SPARK, chain
+from leafmill.functions.dialect import DUCK, chain
 from leafmill.operators import matching
-from leafmill.plans import extraction, records, synth
-from leafmill.sources.tables import written
+from leafmill.plans import extraction, pages, records, suite, synth
+from leafmill.plans.relational import query
 
-PLANS: dict[str, Callable] = {**extraction.PLANS, **records.PLANS}
-
-TABLE = re.compile(r"\{(\w+)\}")
-
-
-#: Steps that are cheaper to compute again than to write: projections of the source tables.
-NARROW = {"ident", "sample"}
-
-
-def uses(name: str, text: str) -> int:
-    """How often a text reads the relation of that name."""
-    return len(re.findall(rf"\b(?:from|join)\s+{name}\b", text))
-
-
-def needed(steps: list[tuple[str, str]], given: set[str]) -> list[tuple[str, str]]:
-    """The steps that the last one rests on, but for those that are given."""
-    wanted, out = {steps[-1][0]}, []
-    for name, text in reversed(steps):
-        if name in wanted and name not in given:
-            out.append((name, text))
-            wanted |= {n for n, _ in steps if uses(n, text)}
-    return out[::-1]
-
-
-def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    """A plan as a query over the Parquet tables of a folder.
-
-    Steps that several later steps read are written once and read back; else each reader would plan and compute them again.
-    """
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        steps, given = plan(SPARK), set()
-
-        def frame(upto: int) -> DataFrame:
-            text = chain(SPARK, *needed(steps[: upto + 1], given))
-            return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(TABLE.findall(text))})
-
-        try:
-            for i, (name, _) in enumerate(steps[:-1]):
-                live = needed(steps, given)
-                if name not in NARROW and sum(uses(name, text) for _, text in live) > 1:
-                    written(frame(i), name).createOrReplaceTempView(name)
-                    given.add(name)
-            return frame(len(steps) - 1)
-        finally:
-            for name in given:
-                spark.catalog.dropTempView(name)
-
-    run.__doc__ = plan.__doc__
-    return run
+PLANS: dict[str, Callable] = {**extraction.PLANS, **records.PLANS, **suite.PLANS}
 
 
 def near_duplicate_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,5 +26,5 @@ def fuzzy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query(plan) for name, plan in PLANS.items()}
 #: Gestalt similarity has no SQL; tests hold these two against the standard library.
-QUERIES |= {f.__name__: f for f in (near_duplicate_identities, fuzzy_labels)}
-ORACLES: dict[str, str] = {name: chain(DUCK, *plan(DUCK)) for name, plan in PLANS.items()}
+QUERIES |= {f.__name__: f for f in (near_duplicate_identities, fuzzy_labels)} | pages.QUERIES | suite.QUERIES
+ORACLES: dict[str, str] = {name: chain(DUCK, *plan(DUCK)) for name, plan in PLANS.items()} | suite.ORACLES

@@ -230,7 +230,11 @@ def annotation_progress(d):
 
 @plan
 def queue_extension(d):
-    return [*annotated(d), ("fresh", "select * from queue where position % 4 <> 0"), ("q", identity.extended.text(d, "fresh", "spread"))]
+    gt = lambda x: ", ".join(f"{x.format(f)} as gt_{f}" for f in CORE)
+    null = f"cast(null as {'string' if d.name == 'spark' else 'varchar'})"
+    old = f"select sample_id, suggested_id, suggested_id as identity_id, annotation_status, case when is_anchor then null else 'anchor' end as propagated_from_sample_id, 'dev' as split, '' as notes, {gt('gt_{}')} from spread"
+    new = f"select sample_id, suggested_id, {null} as identity_id, annotation_status, {null} as propagated_from_sample_id, {null} as split, 'new' as notes, {gt(null)} from queue where position % 4 <> 0"
+    return [*annotated(d), ("fresh", new), ("old", f"{old} where sample_id not in (select sample_id from queue where position % 5 = 2)"), ("q", identity.extended.text(d, "fresh", "old"))]
 
 
 @plan
@@ -274,7 +278,9 @@ def keyed_index(d):
 def guarded_merge(d):
     own = "select sample_id, identity_id, 'dev' as split from sample where k % 2 = 0"
     more = "select sample_id, identity_id, case when k % 10 = 4 then 'dev' else 'holdout' end as split from sample where k % 4 < 2 or k % 10 = 4"
-    return [*scans(d), ("own", own), ("more", f"{more}"), ("q", audit.merged_split.text(d, "own", "more"))]
+    good = "select sample_id, identity_id, 'holdout' as split from sample where k % 2 = 1"
+    both = f"select 'refused' as trial, * from ({audit.merged_split.text(d, 'own', 'more')}) as q union all select 'merged' as trial, * from ({audit.merged_split.text(d, 'own', 'good')}) as q"
+    return [*scans(d), ("own", own), ("more", more), ("good", good), ("q", both)]
 
 
 @plan

@@ -45,9 +45,10 @@ def variants(d, sample: str) -> str:
         case {damaged} when 0 then replace(substr(l2, 1, 9), '0', 'O') || substr(l2, 10)
             when 1 then substr(l2, 1, 10) || translate(substr(l2, 11, 3), 'O', 'Q') || substr(l2, 14)
             when 3 then left(l2, 40)
+            when 6 then substr(l2, 1, 10) || translate(substr(l2, 11, 3), 'O', 'Q') || substr(l2, 14, 6) || translate(substr(l2, 20, 1), '0123456789', '1234567890') || substr(l2, 21)
             when 4 then substr(l2, 1, 9) || translate(substr(l2, 10, 1), '0123456789', '1234567890') || substr(l2, 11)
             when 5 then null else l2 end as line_2,
-        {d.num(0.5)} + cast((k + v + vi) % 50 as double) / 100 as confidence
+        {d.num(0.5)} + cast((k + v + vi) % 50 as double) / 100 as confidence, case when (k + vi) % 3 = 0 then 'text_order_fallback' else 'geometry_two_rows' end as assembly_method
         from (select * from {sample}{d.each('0', '2', 'vi')}) as q"""
 
 
@@ -71,3 +72,34 @@ def page_items(d, sample: str) -> str:
         return f"select sample_id, cast({i} as bigint) as pos, '{field}' as field, '{kind}' as kind, {text} as text, {d.num(x1)} + {shift} as x1, {d.num(y1)} + {shift} as y1, {d.num(x2)} + {shift} as x2, {d.num(y1 + 20)} + {shift} as y2, {d.num(0.5)} + cast((k + v + {i}) % 50 as double) / 100 as confidence from {sample}"
 
     return " union all ".join(one(i, r) for i, r in enumerate(rows))
+
+
+def month_name(x: str) -> str:
+    return f"substr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', month({x}) * 3 - 2, 3)"
+
+
+def scan_items(d, sample: str) -> str:
+    """Items of three recognised variants of a page, labels misread here and there, dates in many forms: sample_id, variant, vi, pos, text, x1, y1, x2, y2, confidence."""
+    two = lambda x: f"lpad({d.text(x)}, 2, '0')"
+    day, month, year = "day(issue)", "month(issue)", d.text("year(issue)")
+    name = f"case when k % 2 = 0 then replace({month_name('issue')}, 'OCT', '0CT') else {month_name('issue')} end"
+    forms = [d.dmy("issue"), f"{two(day)} || ' ' || {name} || ' ' || {year}", f"{two(day)} || ' ' || {two(month)} || ' ' || {year}", f"{two(day)} || {two(month)} || {year}",
+             f"{two(day)} || {d.text(month)} || '/' || {month_name('issue')} || ' ' || substr({year}, 3, 2)", f"{d.text(day)} || ' ' || {name} || '/XXX ' || substr({year}, 3, 2)", "'--'"]
+    pick = lambda n, xs: f"case (k * 5 + v) % {n} {' '.join(f'when {i} then {x}' for i, x in enumerate(xs))} end"
+    issue_label = pick(6, ["'Date of issue'", "'DATE OF ISHUE'", "'Date d''émission / Date of issue'", "'Issue date'", "'Iss. date'", "'illegible'"])
+    worn = lambda text, bad: f"case when (k + vi) % 4 = 1 then '{bad}' else '{text}' end"
+    rows = [
+        (worn("Surname", "Surnane"), 20, 10, 120), ("surname", 22, 34, 150), (worn("Given names", "Glven nannes"), 220, 10, 330), ("given", 222, 36, 340),
+        (worn("Date of birth", "Date of birlh"), 20, 70, 150), (f"case when vi = 2 then {two('day(birth)')} || ' ' || {month_name('birth')} || ' ' || {d.text('year(birth)')} else {d.dmy('birth')} end", 170, 71, 270),
+        (issue_label, 20, 110, 150), (pick(7, forms), 170, 111, 270), ("'Date of expiry'", 20, 150, 150), (d.dmy("expiry"), 170, 151, 270),
+        ("case when k % 3 = 0 then 'Passport No. ' || ppn else 'Passport No.' end", 20, 190, 150), ("case when k % 3 = 0 then '' else ppn end", 170, 191, 290),
+        ("case when sex = '<' then 'Sex' else 'Sex / Sexe ' || sex end", 20, 230, 150), ("'Nationality'", 220, 230, 330), ("issuer", 222, 255, 300),
+    ]
+
+    def one(i: int, row: tuple) -> str:
+        text, x1, y1, x2 = row
+        shift = f"cast((k * {i + 3} + v * 5 + vi) % 9 as double)"
+        x = f"case when (k + {i}) % 29 = 0 then null else {d.num(x1)} + {shift} end"
+        return f"select sample_id, case vi when 0 then 'enhanced' when 1 then 'color' else 'grayscale' end as variant, cast(vi as bigint) as vi, cast({i} as bigint) as pos, {text} as text, {x} as x1, {d.num(y1)} + {shift} as y1, {d.num(x2)} + {shift} as x2, {d.num(y1 + 20)} + {shift} as y2, case when (k + {i} + vi) % 31 = 0 then null else {d.num(0.3)} + cast((k + v + {i} + vi) % 70 as double) / 100 end as confidence from {sample}"
+
+    return " union all ".join(one(i, r) for i, r in enumerate(rows))
