@@ -4,15 +4,27 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from importlib import metadata
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def fingerprint(stage: str, inputs: DataFrame, code: dict[str, str], extra: dict | None = None) -> str:
-    """Digest of a stage's code digests, options and input files (path, length, modificationTime); files are summed where they are."""
+def versions(packages: Iterable[str]) -> dict[str, str | None]:
+    """Installed versions; null for what is not installed."""
+    found = {}
+    for name in packages:
+        try:
+            found[name] = metadata.version(name)
+        except metadata.PackageNotFoundError:
+            found[name] = None
+    return found
+
+
+def fingerprint(stage: str, inputs: DataFrame, code: dict[str, str], extra: dict | None = None, packages: Iterable[str] = ()) -> str:
+    """Digest of a stage's code digests, options, versions of packages, and input files (path, length, modificationTime); files are summed where they are."""
     files = inputs.selectExpr("count(*) as n", "sum(cast(xxhash64(path, length, modificationTime) as decimal(38, 0))) as total").first()
-    payload = {"stage": stage, "code": dict(sorted(code.items())), "files": [files["n"], str(files["total"])], "extra": extra or {}}
+    payload = {"stage": stage, "code": dict(sorted(code.items())), "files": [files["n"], str(files["total"])], "extra": extra or {}, "packages": versions(packages)}
     return hashlib.sha256(json.dumps(payload, sort_keys=True).encode()).hexdigest()
 
 
@@ -21,16 +33,20 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def prepare(spark: SparkSession, folder: str, digest: str) -> bool:
-    """Whether what lies in a stage's folder can be resumed; what another fingerprint left there is deleted. A first run counts as resumable."""
+#: What a stage leaves in its folder.
+OWN = ("done.parquet", "_checkpoint")
+
+
+def prepare(spark: SparkSession, folder: str, digest: str, own: Iterable[str] = OWN) -> bool:
+    """Whether what lies in a stage's folder can be resumed. What another fingerprint left there under the stage's own names is deleted, and nothing else. A first run counts as resumable."""
     meta, files = _path(spark, f"{folder}/_fingerprint")
     old = spark.read.text(meta.toString()).first()[0] if files.exists(meta) else None
-    whole = _path(spark, folder)[0]
     if old == digest:
         return True
-    had = files.exists(whole)
-    if had:
-        files.delete(whole, True)
+    had = False
+    for path in [meta, *(_path(spark, f"{folder}/{name}")[0] for name in own)]:
+        had |= files.exists(path)
+        files.delete(path, True)
     spark.createDataFrame([(digest,)], "value string").coalesce(1).write.text(meta.toString())
     return not had
 
