@@ -54,4 +54,38 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_simhash_bk_tree, op2_ngram_decontamination, op3_suffix_array_repeats, op4_rule_cascade, op5_credential_linking, op6_arrow_token_files, op7_toxic_segments, op8_unit_hashing, op9_chunked_bpe, op10_feistel_shards)}
 
-ORACLES: dict[str, str] = {}
+#: A-Z to a-z and nothing else.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = f"""
+with doc as (select doc_id, row_number() over () as r, regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+item as (select item_id, regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+win as (select distinct item_id, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') as x
+    from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from (select item_id, w, least(len(w), 10) as n from item where len(w) > 0) as q) as q),
+size as (select distinct n from win),
+place as (select r, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') as x from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from doc, size where len(w) >= n) as q),
+hit as (select p.r, p.i, p.n, v.item_id from place as p join win as v on p.x = v.x and p.n = v.n),
+word as (select r, count(distinct k) as n_hit from (select r, unnest(range(i, i + n)) as k from hit) as q group by r),
+named as (select r, count(distinct item_id) as n_items, string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids from hit group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join word on doc.r = word.r left join named on doc.r = named.r
+"""
+
+#: Words are what stands between ASCII white space; windows of eight words are compared word by word.
+OP4_SQL = """
+with doc as (select doc_id, row_number() over () as r, coalesce(text, '') as t from documents),
+words as (select *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from doc),
+place as (select r, i, list_aggregate(w[i:i + 7], 'string_agg', ' ') as x from (select r, w, unnest(range(1, len(w) - 6)) as i from words where len(w) > 8) as q),
+twice as (select r, i from (select r, i, count(*) over (partition by r, x) as n from place) as q where n > 1),
+again as (select r, count(distinct k) as n from (select r, unnest(range(i, i + 8)) as k from twice) as q group by r),
+base as (select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(n, 0) as bigint) as n_repeat_words, len(lines) as n_lines, len(list_distinct(w)) as n_distinct, len(list_filter(w, lambda x: regexp_matches(x, '\\pL'))) as n_lettered
+    from words left join again on words.r = again.r)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+    not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 2 * n_symbols > n_words or word_chars < 2 * n_words or word_chars > 15 * n_words or (n_lines >= 4 and 2 * n_dup_lines > n_lines) or 50 * n_distinct < n_words or 2 * n_lettered < n_words) as kept
+from base
+"""
+
+#: The others rest on XXH64, byte strings, learnt scores, BPE or networks of bits, which DuckDB cannot express; tests/llm holds them against plain Python.
+ORACLES: dict[str, str] = {"op2_ngram_decontamination": OP2_SQL, "op4_rule_cascade": OP4_SQL}
