@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -39,6 +40,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     del df
+    time.sleep(0.3)  # until the listeners have let go of the plan
     spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of what is unreachable now
     return spark.read.schema(schema).parquet(path)
 
