@@ -138,17 +138,21 @@ def comparable(d, field, x, family):
 # --- dates ------------------------------------------------------------------------------------------------------------
 
 
-def birth_date(d, x, today):
-    """Of 19yy, 20yy and 21yy the latest real date up to today."""
-    of = lambda c: f"(case when {d.matches(x, '^[0-9]+$')} and length({x}) = 6 then {d.date(chr(39) + c + chr(39) + ' || ' + x, 'yyyyMMdd')} end)"
-    return "coalesce(" + ", ".join(f"case when {of(c)} <= date '{today}' then {of(c)} end" for c in ("21", "20", "19")) + ")"
+def centuries(d, x, p):
+    """Columns p19, p20 and p21: the days that six digits mean in each century, null where there is none."""
+    six = f"({d.matches(x, '^[0-9]+$')} and length({x}) = 6)"
+    return ", ".join(f"case when {six} then {d.date(chr(39) + c + chr(39) + ' || ' + x, 'yyyyMMdd')} end as {p}{c}" for c in ("19", "20", "21"))
 
 
-def expiry_date(d, x, today):
-    """Of 19yy, 20yy and 21yy the real date nearest to today; the earlier century wins ties."""
-    of = lambda c: f"(case when {d.matches(x, '^[0-9]+$')} and length({x}) = 6 then {d.date(chr(39) + c + chr(39) + ' || ' + x, 'yyyyMMdd')} end)"
-    off = lambda c: f"coalesce(abs({d.days(of(c), f'date {chr(39)}{today}{chr(39)}')}), 999999)"
-    return f"case when {off('19')} <= {off('20')} and {off('19')} <= {off('21')} then {of('19')} when {off('20')} <= {off('21')} then {of('20')} else {of('21')} end"
+def birth_date(d, p, today):
+    """Of the columns of centuries() the latest real date up to today."""
+    return "coalesce(" + ", ".join(f"case when {p}{c} <= date '{today}' then {p}{c} end" for c in ("21", "20", "19")) + ")"
+
+
+def expiry_date(d, p, today):
+    """Of the columns of centuries() the real date nearest to today; the earlier century wins ties."""
+    off = lambda c: f"coalesce(abs({d.days(p + c, f'date {chr(39)}{today}{chr(39)}')}), 999999)"
+    return f"case when {off('19')} <= {off('20')} and {off('19')} <= {off('21')} then {p}19 when {off('20')} <= {off('21')} then {p}20 else {p}21 end"
 
 
 def slash_date(d, x):
