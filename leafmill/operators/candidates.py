@@ -9,9 +9,10 @@ from leafmill.functions.dialect import operator
 @operator
 def field_candidates(d, items):
     """The best value item for each label item of a page: position near the label, confidence and order; labels are known by kind."""
-    score = f"{S.field_score(d, 'a', 'b')} + {d.num(2.3)} + greatest(b.confidence, cast(0 as double)) - case when b.confidence < {d.num(0.35)} then {d.num(0.8)} else 0 end + greatest(cast(0 as double), {d.num(1.5)} - {d.num(0.2)} * abs(a.pos - b.pos))"
-    pairs = f"select a.sample_id, a.field, b.text as value, b.pos, {d.rounded(score, 8)} as score, {S.field_score(d, 'a', 'b')} as place from {items} as a join {items} as b on a.sample_id = b.sample_id where a.kind = 'label' and b.kind = 'value'"
-    return f"select sample_id, field, value, score from (select *, row_number() over (partition by sample_id, field order by score desc, pos) as r from ({pairs}) as q where place > -1000) as q where r = 1"
+    pairs = f"select a.sample_id, a.field, b.text as value, b.pos, b.confidence as c, abs(a.pos - b.pos) as off, {S.field_score(d, 'a', 'b')} as place from {items} as a join {items} as b on a.sample_id = b.sample_id where a.kind = 'label' and b.kind = 'value'"
+    score = d.rounded(f"place + {d.num(2.3)} + greatest(c, cast(0 as double)) - case when c < {d.num(0.35)} then {d.num(0.8)} else 0 end + greatest(cast(0 as double), {d.num(1.5)} - {d.num(0.2)} * off)", 8)
+    scored = f"select sample_id, field, value, pos, {score} as score from ({pairs}) as q where place > -1000"
+    return f"select sample_id, field, value, score from (select *, row_number() over (partition by sample_id, field order by score desc, pos) as r from ({scored}) as q) as q where r = 1"
 
 
 @operator
@@ -45,13 +46,16 @@ def issue_candidates(d, items, context, *, today="2026-01-01"):
     context gives birth and expiry by sample. Labels are known by kind and field.
     """
     dated = f"select i.*, {S.slash_date(d, 'text')} as day from {items} as i where kind = 'value'"
-    able = f"select a.*, c.birth, c.expiry from ({dated}) as a join {context} as c on a.sample_id = c.sample_id where a.day is not null and {S.admissible(d, 'a.day', 'c.birth', 'c.expiry', today)}"
-    bonus = S.validity_bonus(d, "b.day", "b.expiry")
-    near = f"coalesce({S.issue_score(d, 'a', 'b')}, case when abs(a.pos - b.pos) <= 3 then greatest(cast(0 as double), cast(18 - 5 * abs(a.pos - b.pos) as double)) end)"
-    labelled = f"select b.sample_id, b.day, b.pos, 'issue_label' as method, max(45 + {near} + {bonus} + 5 * b.confidence) as score from {items} as a join ({able}) as b on a.sample_id = b.sample_id where a.kind = 'label' and a.field = 'date_of_issue' and {near} is not null group by b.sample_id, b.day, b.pos"
-    rescue = f"select b.sample_id, b.day, b.pos, 'temporal_validity_rescue' as method, 42 + {bonus} as score from ({able}) as b where {bonus} >= 28"
-    single = f"select sample_id, min(day) as day, min(pos) as pos, 'date_role_elimination' as method, cast(86 as double) as score from ({able}) as b group by sample_id having count(distinct day) = 1"
-    return f"select sample_id, day, pos, method, {d.rounded('cast(score as double)', 4)} as score from ({labelled} union all {rescue} union all {single}) as q"
+    able = f"select a.*, c.expiry, {S.validity_bonus(d, 'a.day', 'c.expiry')} as bonus from ({dated}) as a join {context} as c on a.sample_id = c.sample_id where a.day is not null and {S.admissible(d, 'a.day', 'c.birth', 'c.expiry', today)}"
+    off = f"case when abs(a.pos - b.pos) <= 3 then greatest(cast(0 as double), cast(18 - 5 * abs(a.pos - b.pos) as double)) end"
+    # every date once with each issue label of its page, and once without any: one pass gives all three methods
+    labels = f"select * from {items} where kind = 'label' and field = 'date_of_issue'"
+    beside = f"select b.sample_id, b.day, b.pos, b.bonus, b.confidence, coalesce({S.issue_score(d, 'a', 'b')}, {off}) as near from ({able}) as b left join ({labels}) as a on a.sample_id = b.sample_id"
+    dates = f"select sample_id, day, pos, bonus, max(45 + near + bonus + 5 * confidence) as labelled from ({beside}) as q group by sample_id, day, pos, bonus"
+    counted = f"select *, min(day) over (partition by sample_id) = max(day) over (partition by sample_id) as alone, pos = min(pos) over (partition by sample_id) as first from ({dates}) as q"
+    methods = {"issue_label": ("labelled", "labelled is not null"), "temporal_validity_rescue": ("42 + bonus", "bonus >= 28"), "date_role_elimination": ("86", "alone and first")}
+    found = d.keep(d.array(*[f"case when {when} then {d.struct(method=repr(m), score=d.rounded(f'cast({score} as double)', 4))} end" for m, (score, when) in methods.items()]))
+    return f"select sample_id, day, pos, m.method as method, m.score as score from (select sample_id, day, pos, {found} as found from ({counted}) as q) as q{d.unnest('found', 'm')}"
 
 
 @operator

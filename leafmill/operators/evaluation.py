@@ -91,7 +91,7 @@ def failures(d, compared, mrz, viz, issue, pages):
 def failure_counts(d, failures):
     """Errors and identities by category, by split and category, and by field, in one pass of grouping sets."""
     return f"""select failure_category, split, field, cast(count(*) as bigint) as errors, cast(count(distinct identity_id) as bigint) as identities, cast(count(*) as double) / max(total) as rate
-        from (select *, count(*) over () as total from {failures}) as q group by grouping sets ((failure_category), (split, failure_category), (field))"""
+        from {failures} cross join (select count(*) as total from {failures}) as t group by grouping sets ((failure_category), (split, failure_category), (field))"""
 
 
 @operator
