@@ -87,5 +87,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 from base
 """
 
+def op5_sql() -> str:
+    """Kinds by pattern, places by running sums, the interval join by windows, as secrets states them."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    each = []
+    for k, (name, (pattern, least, group, role, base)) in enumerate(secrets.KINDS.items()):
+        holds = "".join(f" and regexp_matches(m, {quoted(h)})" for h in secrets.HOLDS.get(name, ()))
+        found = f"select r, regexp_extract_all(t, {quoted(pattern)}) as ms, regexp_extract_all(t, {quoted(pattern)}, {group}) as gs, regexp_split_to_array(t, {quoted(pattern)}) as bs from doc"
+        rows = f"select r, i, ms[i] as m, gs[i] as g, bs[i] as b from (select *, unnest(range(1, len(ms) + 1)) as i from ({found}) as q) as q"
+        each.append(f"select r, {k} as k, i, length(b) as gap, length(m) as n, case when length(g) >= {least}{holds} then '{role}' end as role0, {str(base).lower()} as base0 from ({rows}) as q")
+    before = "over (partition by r order by s, k, e rows between unbounded preceding and 1 preceding)"
+    after = "over (partition by r order by s, k, e rows between 1 following and unbounded following)"
+    roles = ("identifier", "secret", "endpoint")
+    last = ", ".join(f"max({{'e': e, 's': s}}) filter (where role = '{x}') {before} as last_{x}, min({{'s': s, 'e': e}}) filter (where role = '{x}') {after} as next_{x}" for x in roles)
+    back, ahead = (lambda x: f"coalesce(s - last_{x}.e, 1 << 30)"), (lambda x: f"coalesce(next_{x}.s - e, 1 << 30)")
+    near = ", ".join(f"case when least({back(x)}, {ahead(x)}) <= {secrets.SCOPE} then case when {back(x)} <= {ahead(x)} then last_{x}.s else next_{x}.s end end as near_{x}" for x in roles)
+    kinds = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
+    told = lambda when: f"coalesce(string_agg({kinds}[k + 1] || ':' || s || ':' || e, ',' order by s, k, e) filter (where reported and {when}), '')"
+    count = lambda k: f"cast(count(*) filter (where reported and k = {k}) as bigint)"
+    shown = lambda x: f"coalesce(cast(near_{x} as varchar), '-')"
+    return f"""
+with doc as (select doc_id, row_number() over () as r, coalesce(text, '') as t from documents),
+found as ({' union all '.join(each)}),
+placed as (select r, k, n, role0, base0, gap + coalesce(sum(gap + n) over (partition by r, k order by i rows between unbounded preceding and 1 preceding), 0) as s from found),
+good as (select r, k, cast(s as bigint) as s, cast(s as bigint) + n as e, role0, base0 as base from placed where role0 is not null),
+part as (select r, k, s, e, base, value, case when not value then role0 end as role from (select *, k = 4 and coalesce(max(e) filter (where k = 3) {before} > s, false) as value from good) as q),
+beside as (select *, coalesce(max(e) filter (where base) {before} > s, false) or coalesce(min(s) filter (where base) {after} < e, false) as covered, {last} from part),
+linked as (select *, {near} from beside),
+marked as (select *, base or (not covered and not value and case when role = 'secret' then near_identifier is not null or near_endpoint is not null else near_secret is not null end) as reported from linked),
+told as (select r, {count(0)} as n_assign, {count(1)} as n_access, {count(2)} as n_hex, {told('k < 3')} as base_spans, {told('true')} as spans,
+    coalesce(string_agg(s || ':' || {shown('identifier')} || ':' || {shown('endpoint')}, ',' order by s) filter (where reported and role = 'secret' and (near_identifier is not null or near_endpoint is not null)), '') as links
+    from marked group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(links, '') as links
+from doc left join told on doc.r = told.r
+"""
+
+
 #: The others rest on XXH64, byte strings, learnt scores, BPE or networks of bits, which DuckDB cannot express; tests/llm holds them against plain Python.
-ORACLES: dict[str, str] = {"op2_ngram_decontamination": OP2_SQL, "op4_rule_cascade": OP4_SQL}
+ORACLES: dict[str, str] = {"op2_ngram_decontamination": OP2_SQL, "op4_rule_cascade": OP4_SQL, "op5_credential_linking": op5_sql()}
