@@ -47,8 +47,7 @@ def units(text: str, unit: str) -> list[tuple[int, int, str]]:
     """(start, end, normalised) of the units with words."""
     out, at = [], 0
     for x in (p for s in CUTS["sentence"].split(text) for p in pieces_of(s)) if unit == "piece" else CUTS[unit].split(text):
-        norm = OTHER.sub(" ", x.casefold()).strip()
-        if norm:
+        if norm := normal(x):
             out.append((at, at + len(x), norm))
         at += len(x)
     return out
@@ -73,47 +72,49 @@ def pieces_of(sentence: str) -> list[str]:
 
 
 def unit_rows(docs: DataFrame, unit: str) -> DataFrame:
-    """doc_id, t, place (number in the text), start, end, words, h1, h2 of the units with words."""
+    """doc_id, t, start, end, h1, h2 of the units with words."""
     source = docs.select(*text_key(), F.coalesce("text", F.lit("")).alias("x"))
 
     def rows(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {c: [] for c in ("place", "start", "end", "words")}
+        out: dict[str, list] = {c: [] for c in ("start", "end")}
         take, digests = [], []
         for i, text in enumerate(batch.column(2).to_pylist()):
             found = units(text, unit)
             take += [i] * len(found)
-            out["place"] += range(len(found))
             out["start"] += [u[0] for u in found]
             out["end"] += [u[1] for u in found]
-            out["words"] += [u[2].count(" ") + 1 for u in found]
             digests += [xxhash.xxh3_128_digest(u[2]) for u in found]
         at = pa.array(take, pa.int32())
         h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
         return {"doc_id": batch.column(0).take(at), "t": batch.column(1).take(at), "h1": h[:, 0], "h2": h[:, 1]} | out
 
-    return map_arrow(source, rows, extended(source.select("doc_id", "t").schema, "place int, start int, end int, words int, h1 long, h2 long"))
+    return map_arrow(source, rows, extended(source.select("doc_id", "t").schema, "start int, end int, h1 long, h2 long"))
 
 
-def passages(later: list[tuple[int, int, int, int]], least: int) -> list[tuple[int, int, int]]:
-    """(start, end, units) of the runs of units (place, start, end, words) that follow one another and have `least` words or more."""
+def normal(x: str) -> str:
+    return OTHER.sub(" ", x.casefold()).strip()
+
+
+def passages(text: str, later: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """(start, end, units) of the runs of units (start, end) with no words between them, that have `least` words or more together."""
     out: list[tuple[int, int, int]] = []
-    run: list[tuple[int, int, int, int]] = []
+    run: list[tuple[int, int]] = []
     for u in [*later, None]:
-        if run and (u is None or u[0] != run[-1][0] + 1):
-            if sum(x[3] for x in run) >= least:
-                out.append((run[0][1], run[-1][2], len(run)))
+        if run and (u is None or normal(text[run[-1][1] : u[0]])):
+            if least <= 1 or sum(normal(text[a:b]).count(" ") + 1 for a, b in run) >= least:
+                out.append((run[0][0], run[-1][1], len(run)))
             run = []
         run.append(u)
     return out
 
 
 def repeated_units(docs: DataFrame, unit: str) -> DataFrame:
-    """doc_id, t, later: sorted (place, start, end, words) of the units that repeat an earlier one, for documents that have any."""
+    """doc_id, t, later: sorted (start, end) of the units that repeat an earlier one, for documents that have any."""
     rows = materialise(unit_rows(docs, unit), "units")
     here = F.struct("doc_id", "t", "start")
     first = materialise(rows.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first")
     later = rows.join(first, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first")))
-    found = materialise(later.groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("place", "start", "end", "words"))).alias("later")), "later")
+    found = materialise(later.groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("later")), "later")
     for table in (rows, first):
         drop_table(table)
     return found
@@ -129,7 +130,7 @@ def deduplicated(docs: DataFrame, unit: str = "piece", passage_words: int = PASS
     def rows(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {f.name: [] for f in schema.fields[1:]}
         for text, later in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            cut = passages([(u["place"], u["start"], u["end"], u["words"]) for u in later or []], passage_words)
+            cut = passages(text, [(u["start"], u["end"]) for u in later or []], passage_words)
             kept, at = [], 0
             for a, b, _ in cut:
                 kept.append(text[at:a])
