@@ -3,8 +3,8 @@
 Words are those of simhash (A-Z lower-cased, between ASCII white space); a shorter text is one shingle, texts without words
 are copies of each other. At similarity 0.8 two 64-bit SimHashes differ in ten bits on the average, which blocks of agreeing bits
 cannot find at any size, so the shards of the candidate search are 32 bands of 5 minima of hashed shingles (all bands miss a pair at
-0.8 with a chance of 3e-6). Within a band, texts whose SimHashes differ in `RADIUS` bits or fewer are linked by a spanning
-forest, never by pairs. Connected candidates meet in one task, once each, where similarities are exact: shared shingles are
+0.8 with a chance of 3e-6). Within a band, texts whose SimHashes differ in `RADIUS` bits or fewer, found in a BK-tree as op1 finds them, are linked by a
+spanning forest, never by pairs. Connected candidates meet in one task, once each, where similarities are exact: shared shingles are
 counted over an inverted index, and texts that are connected already are not compared again.
 
 Texts and shingles are told apart by 64-bit XXH64.
@@ -101,19 +101,26 @@ def table(edges) -> pa.RecordBatch:
 
 
 def near_in_band(held: list[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the texts of one band within RADIUS; what is linked is not probed again."""
+    """A spanning forest of the texts of one band within RADIUS, by a BK-tree of their different SimHashes; what is linked leaves the tree."""
+    from leafmill.llm.simhash import BKTree
+
     if sum(b.num_rows for b in held) < 2:
         return
-    node = np.concatenate([b.column(1).to_numpy() for b in held])
-    fp = np.concatenate([b.column(2).to_numpy() for b in held]).view(np.uint64)
-    while len(node):
-        todo, node, fp = [(node[0], fp[0])], node[1:], fp[1:]
-        while todo and len(node):
-            u, x = todo.pop()
-            near = np.bitwise_count(fp ^ x) <= RADIUS
-            todo += zip(node[near], fp[near])
-            yield from ((int(u), int(v)) for v in node[near])
-            node, fp = node[~near], fp[~near]
+    first: dict[int, int] = {}
+    for b in held:
+        for u, x in zip(b.column(1).to_pylist(), b.column(2).to_numpy().view(np.uint64).tolist()):
+            if (known := first.setdefault(x, u)) != u:  # copies of a SimHash are no nodes of the tree
+                yield known, u
+    tree, nodes = BKTree(), list(first.values())
+    for x in first:
+        tree.add(x)
+    for x in first:
+        todo = tree.take(x, 0)
+        while todo and tree.left[0]:
+            me = todo.pop()
+            near = tree.take(tree.values[me], RADIUS)
+            todo += near
+            yield from ((nodes[me], nodes[k]) for k in near)
 
 
 def alike(held: list[pa.RecordBatch]) -> Iterator[tuple[int, int]]:

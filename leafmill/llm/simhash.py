@@ -93,6 +93,7 @@ class BKTree:
     def __init__(self) -> None:
         self.values: list[int] = []
         self.children: list[dict[int, int]] = []
+        self.left: list[int] = []
 
     def add(self, value: int) -> int:
         new = len(self.values)
@@ -107,6 +108,29 @@ class BKTree:
             at = after
         return new
 
+    def take(self, value: int, radius: int) -> list[int]:
+        """Like near(), but what is found is never found again; subtrees of which nothing is left are not entered."""
+        values, children = self.values, self.children
+        if len(self.left) != len(values):  # since the last add(): how much of each subtree is left
+            self.left, self.above, self.gone = [1] * len(values), [-1] * len(values), [False] * len(values)
+            for at in range(len(values) - 1, -1, -1):  # a node's children have larger numbers
+                for k in children[at].values():
+                    self.above[k] = at
+                    self.left[at] += self.left[k]
+        found, todo = [], [0] if values and self.left[0] else []
+        while todo:
+            at = todo.pop()
+            d = (values[at] ^ value).bit_count()
+            if d <= radius and not self.gone[at]:
+                found.append(at)
+            todo += [k for e, k in children[at].items() if -radius <= e - d <= radius and self.left[k]]
+        for at in found:
+            self.gone[at] = True
+            while at >= 0:
+                self.left[at] -= 1
+                at = self.above[at]
+        return found
+
     def near(self, value: int, radius: int) -> list[int]:
         """Numbers of the nodes within radius; only edges that can lead to one are followed."""
         found, todo = [], [0] if self.values else []
