@@ -118,9 +118,11 @@ class Spark:
         return f"split({x}, '{by}')"
 
     def weights(self, x: str, n: int) -> str:
-        """Sum of 7-3-1 weighted character values of a text of n characters; x is computed once."""
-        step = f"(a, c) -> named_struct('s', a.s + greatest(instr('{ALPHABET}', c) - 1, 0) * element_at(array(7, 3, 1), a.i % 3 + 1), 'i', a.i + 1)"
-        return f"aggregate(split({x}, ''), named_struct('s', 0, 'i', 0), {step}, a -> a.s)"
+        """Sum of 7-3-1 weighted character values of a text of n characters, or what leaves the same rest by 10 (values count by their last digit); x is computed once."""
+        digits = "".join(str(i % 10) for i in range(10, 36)) + "0"
+        moved = f"regexp_replace(translate({x}, '{ALPHABET[10:]}<', '{digits}'), '[^0-9]', '0')"
+        weights = f"array({', '.join(str((7, 3, 1)[i % 3]) for i in range(n))})"
+        return f"aggregate(zip_with(split({moved}, ''), {weights}, (c, w) -> try_cast(c as int) * w), 0, (a, v) -> a + coalesce(v, 0))"
 
     def collected(self, x: str, order: str) -> str:
         """The values in ascending order of a key, which is unique in its group."""

@@ -34,9 +34,8 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Birth and expiry by zone and page; tables name the same scan in different ways."""
     name = "case k % 3 when 0 then 'c' || k || '_' || v || '.png' when 1 then 'c' || k || '_' || v else 'c' || k || '_' || v || '.jpg' end"
-    keyed = lambda cols, where: lambda d: [*mrz_table(d), ("q", f"select {name} as filename, m.sample_id as pos, {cols} from mrz as m join sample as s on m.sample_id = s.sample_id where {where}")]
-    parsed = written(query(keyed("m.date_of_birth as birth_date, m.date_of_expiry as expiry_date, m.parse_mode", "true"))(spark, sf_dir), "parsed")
-    valid = written(query(keyed("m.all_main_checks_valid", "true"))(spark, sf_dir), "valid")
+    zones = written(query(lambda d: [*mrz_table(d), ("q", f"select {name} as filename, m.sample_id as pos, m.date_of_birth as birth_date, m.date_of_expiry as expiry_date, m.parse_mode, m.all_main_checks_valid from mrz as m join sample as s on m.sample_id = s.sample_id")])(spark, sf_dir), "zones")
+    parsed, valid = zones.drop("all_main_checks_valid"), zones.select("filename", "pos", "all_main_checks_valid")
     page = lambda d: [*scans(d), ("q", f"select {name} as filename, sample_id as pos, {d.iso('birth')} as date_of_birth, case when k % 4 = 0 then null else {d.iso('expiry')} end as date_of_expiry from sample where k % 5 <> 0")]
     return written(issue.temporal_context(manifest(spark, sf_dir), parsed, valid, query(page)(spark, sf_dir)), "context")
 

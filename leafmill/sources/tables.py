@@ -22,5 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table that later steps read: computed once, its lineage cut, and safe from lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark, schema = df.sparkSession, df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # the driver lets go of the step's plan and code before the next one, and Spark of its shuffle files
+    return spark.read.schema(schema).parquet(path)
