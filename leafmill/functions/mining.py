@@ -6,10 +6,12 @@ import re
 from datetime import date
 from functools import cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
-from leafmill.functions.similarity import date_text, label_text, plain, ratio
+from leafmill.functions.similarity import Labels, date_text, label_similarity, label_text, most_ratio, plain, ratio
 
 #: Names of months; fixed values.
 MONTHS = {
@@ -58,8 +60,9 @@ def real(year: int, month: int, day: int) -> str | None:
 
 def like_month(token: str) -> int | None:
     """The month whose name resembles a token most, if enough; of equals the first."""
-    best = max(BY_NAME, key=lambda name: ratio(token, name))
-    return BY_NAME[best] if ratio(token, best) >= LIKE_MONTH else None
+    able = [name for name in BY_NAME if most_ratio(token, name) >= LIKE_MONTH]
+    best = max(able, key=lambda name: ratio(token, name), default=None)
+    return BY_NAME[best] if able and ratio(token, best) >= LIKE_MONTH else None
 
 
 @cache
@@ -81,7 +84,12 @@ def full_year(digits: str, birth: str | None, expiry: str | None, today: str) ->
 
 def dates_in(text: str | None, birth: str | None, expiry: str | None, today: str) -> list[tuple[str, str, int, int]]:
     """(iso, raw, start, end) of the dates in a text: a later match of the same day replaces offsets but keeps the place."""
-    normal, found = date_text(text or ""), {}
+    return dates_of(date_text(text or ""), birth, expiry, today)
+
+
+def dates_of(normal: str, birth: str | None, expiry: str | None, today: str) -> list[tuple[str, str, int, int]]:
+    """dates_in() of a text in normal form."""
+    found: dict[str, tuple] = {}
     for form, pattern in PATTERNS.items():
         for m in pattern.finditer(normal):
             day, month, digits = m.groups()
@@ -134,23 +142,69 @@ def issue_similarity(text: str) -> float:
 SIGNALS = T.StructType([T.StructField("issue", T.BooleanType()), T.StructField("negative", T.BooleanType()), T.StructField("similarity", T.DoubleType()), T.StructField("at", T.IntegerType())])
 
 
-@F.pandas_udf(SIGNALS)
-def label_signals(texts: pd.Series) -> pd.DataFrame:
-    """Whether a text labels a date of issue, or another date; how well; and where in the normal text the first issue label stands (-1: nowhere)."""
+ISSUE_FORMS = Labels(ISSUE)
+
+
+def signals(texts: pd.Series, least: float) -> pd.DataFrame:
+    """SIGNALS of texts; a similarity may be too small where no ratio reaches least, and then the text is no issue label by similarity either."""
+    different = texts.unique()
+    normals = [date_text(x or "") for x in different]
     told = {}
-    for x in texts.unique():
-        t = date_text(x or "")
-        at = [t.find(i) for i in ISSUE if i in t]
-        told[x] = (issue_signal(x or ""), holds(t, OTHER), issue_similarity(x or ""), min(at, default=-1))
+    for x, t, top in zip(different, normals, ISSUE_FORMS.best(normals, least)):
+        word = "date" in t and any(y in t for y in ("issue", "issu", "iss "))
+        similar = 0.0 if len(t) < 4 else 1.0 if any(i in t or t in i for i in ISSUE) else top
+        told[x] = (holds(t, ISSUE) or word or top >= LIKE_ISSUE, holds(t, OTHER), similar, min((t.find(i) for i in ISSUE if i in t), default=-1))
     return pd.DataFrame([told[x] for x in texts], columns=["issue", "negative", "similarity", "at"])
 
 
-def mined(today: str):
-    """A function of text, birth and expiry (texts) to the dates in the text."""
+@F.pandas_udf(SIGNALS)
+def label_signals(texts: pd.Series) -> pd.DataFrame:
+    """Whether a text labels a date of issue, or another date; how well; and where in the normal text the first issue label stands (-1: nowhere)."""
+    return signals(texts, 0.0)
 
-    @F.pandas_udf("array<struct<iso: string, raw: string, start: int, end: int>>")
-    def dates(texts: pd.Series, births: pd.Series, expiries: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("iso", "raw", "start", "end"), x)) for x in dates_in(t, b, e, today)] for t, b, e in zip(texts, births, expiries)])
+
+@F.pandas_udf(SIGNALS)
+def issue_signals(texts: pd.Series) -> pd.DataFrame:
+    """label_signals() for who reads the issue labels only: no similarity is worked out that cannot make one."""
+    return signals(texts, LIKE_ISSUE)
+
+
+FOUND = "array<struct<first: int, n: int, iso: string, raw: string, start: int, end: int, place: int>>"
+
+
+def mined(today: str, most: int = 3):
+    """A function of a page's texts in order, birth and expiry (texts) to the dates in all windows of up to `most` neighbours: first item (from 0), items and place in the window.
+
+    The normal form of a window is that of its items with a space between, and texts without digits hold no dates.
+    """
+
+    @F.arrow_udf(FOUND)
+    def dates(pages: pa.Array, births: pa.Array, expiries: pa.Array) -> pa.Array:
+        normal, known = {}, {}
+        rows = [(p, b, e) for p, b, e in zip(pages.to_pylist(), births.to_pylist(), expiries.to_pylist())]
+        out, ends = [], [0]
+        for page, birth, expiry in rows:
+            own = []
+            for t in page or []:
+                if t not in normal:
+                    x = date_text(t or "")
+                    normal[t] = (x, any(c.isdigit() for c in x))
+                own.append(normal[t])
+            for first in range(len(own)):
+                text, digits = "", False
+                for n, (x, has) in enumerate(own[first : first + most], 1):
+                    text, digits = f"{text} {x}" if text and x else text or x, digits or has
+                    if digits:
+                        key = (text, birth, expiry)
+                        found = known.get(key)
+                        if found is None:
+                            found = known[key] = dates_of(text, birth, expiry, today)
+                        out += [(first, n, *d, place) for place, d in enumerate(found)]
+            ends.append(len(out))
+        kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+        columns = zip(*out) if out else [[]] * 7
+        names = ["first", "n", "iso", "raw", "start", "end", "place"]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names))
 
     return dates
 
@@ -168,17 +222,22 @@ def normal_date_text(texts: pd.Series) -> pd.Series:
 
 def label_table(labels: dict[str, list[str]], least: float):
     """A function of texts to the fields that they label, with similarity."""
-    from leafmill.functions.similarity import label_similarity
-
-    known = {f: [label_text(x) for x in xs] for f, xs in labels.items()}
+    pairs = [(f, label_text(x)) for f, xs in labels.items() for x in xs]
+    forms, words = Labels([x for _, x in pairs]), {w for _, x in pairs for w in x.split()}
 
     @F.pandas_udf("map<string, double>")
     def fields(texts: pd.Series) -> pd.Series:
-        told = {}
-        for x in texts.unique():
-            t = label_text(x or "")
-            each = {f: max(label_similarity(t, label) for label in xs) for f, xs in known.items()}
-            told[x] = {f: s for f, s in each.items() if s >= least}
+        different = texts.unique()
+        normals = [label_text(x or "") for x in different]
+        common, bound = forms.bounds(normals)
+        length = np.array([len(t) for t in normals])[:, None]
+        shares = np.array([not words.isdisjoint(t.split()) for t in normals], bool)[:, None]
+        told: dict = {x: {} for x in different}
+        # what no ratio, no common word and no text within the other can bring to the least is not worked out
+        for i, j in np.argwhere((bound >= least) | shares | (common == forms.lengths) | (common == length)).tolist():
+            s, own = label_similarity(normals[i], pairs[j][1]), told[different[i]]
+            if s >= max(least, own.get(pairs[j][0], 0.0)):
+                own[pairs[j][0]] = s
         return texts.map(lambda x: told[x])
 
     return fields

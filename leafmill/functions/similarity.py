@@ -6,6 +6,7 @@ import re
 import unicodedata
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
@@ -31,6 +32,46 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+def most_ratio(a: str, b: str) -> float:
+    """What ratio() cannot exceed: characters in common, in any order."""
+    return SequenceMatcher(None, a, b).quick_ratio()
+
+
+class Labels:
+    """Labels in a normal form (ASCII) and how near texts can come to them."""
+
+    def __init__(self, labels: list[str]) -> None:
+        self.labels = labels
+        self.lengths = np.array([len(x) for x in labels])
+        self.counts = self.counted(labels)
+
+    @staticmethod
+    def counted(texts: list[str]) -> np.ndarray:
+        """How often each ASCII character is in each text."""
+        raw = [t.encode("ascii") for t in texts]
+        row = np.repeat(np.arange(len(raw)), np.array([len(x) for x in raw], int))
+        return np.bincount(row * 128 + np.frombuffer(b"".join(raw), np.uint8), minlength=128 * len(raw)).reshape(-1, 128).astype(np.int16)
+
+    def bounds(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Characters in common with each label, in any order, and the ratio that they allow: ratio() is that at most."""
+        seen = np.flatnonzero(self.counts.any(axis=0))
+        own, length = self.counted(texts)[:, seen], np.array([len(t) for t in texts], int)
+        common = np.stack([np.minimum(own, c).sum(axis=1) for c in self.counts[:, seen]], axis=1).astype(int)
+        return common, 2.0 * common / np.maximum(length[:, None] + self.lengths, 1)
+
+    def best(self, texts: list[str], least: float = 0.0) -> list[float]:
+        """The largest ratio of each text to a label; 0 where none can reach least."""
+        out = []
+        for t, bound in zip(texts, self.bounds(texts)[1]):
+            top = 0.0
+            for j in np.argsort(-bound, kind="stable").tolist() if bound.max() >= least else []:
+                if bound[j] <= top:
+                    break
+                top = max(top, ratio(t, self.labels[j]))
+            out.append(top if t else 0.0)
+        return out
+
+
 def label_similarity(text: str, label: str) -> float:
     """1 if the label is in the text, 0.95 for the reverse from four characters on, else the larger of gestalt ratio and shared words."""
     if not text or not label:

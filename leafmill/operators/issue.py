@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leafmill.functions import scalars as S
 from leafmill.functions.dialect import SPARK
-from leafmill.functions.mining import MONTHS, label_signals, mined, normal_date_text
+from leafmill.functions.mining import MONTHS, issue_signals, mined, normal_date_text
+from leafmill.sources.tables import written
 
 BOX = ("x1", "y1", "x2", "y2")
 CANDIDATE = ["sample_id", "iso", "raw", "score", "method", "variant", "seq"]
@@ -65,11 +66,17 @@ def windows(items: DataFrame) -> DataFrame:
 
 
 def dated(items: DataFrame, context: DataFrame, today: str) -> DataFrame:
-    """The dates in all windows, with context: seq is their order (stage, vi, pos, n, place)."""
-    rows = windows(items).join(context, "sample_id", "left").withColumn("found", mined(today)("text", "birth", "expiry"))
-    each = rows.select("*", F.posexplode("found").alias("place", "date")).select("*", "date.*")
+    """The dates in all windows, with context: seq is their order (stage, vi, pos, n, place). A page's texts are looked at together, so its windows are made only where they hold dates."""
+    item = F.struct("pos", "vi", "text", *BOX, F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    pages = items.groupBy("sample_id", "variant").agg(F.array_sort(F.collect_list(item)).alias("items")).join(context, "sample_id", "left")
+    found = pages.withColumn("found", mined(today, 3)(F.col("items.text"), "birth", "expiry")).select("*", F.explode("found").alias("date")).select("*", "date.*")
+    own = F.slice("items", F.col("first") + 1, F.col("n"))
+    text = F.trim(F.array_join(F.transform(own, lambda x: F.coalesce(x["text"], F.lit(""))), " "))
+    box = [(F.array_min if c in ("x1", "y1") else F.array_max)(F.col(f"own.{c}")).alias(c) for c in BOX]
+    rows = found.withColumn("own", own).withColumn("text", text)
+    rows = rows.select("sample_id", "variant", F.col("own")[0]["vi"].alias("vi"), F.col("own")[0]["pos"].alias("pos"), "n", "text", *box, F.array_min("own.confidence").alias("confidence"), *[c for c in context.columns if c != "sample_id"], "iso", "raw", "start", "end", "place")
     seq = F.struct(F.lit(0).alias("stage"), F.col("vi").cast("int").alias("vi"), F.col("pos").cast("int").alias("pos"), F.col("n").alias("n"), F.col("place").alias("place"))
-    return each.withColumn("seq", seq).drop("found", "date", "place")
+    return rows.withColumn("seq", seq).drop("place")
 
 
 def allowed(today: str) -> Column:
@@ -85,7 +92,7 @@ def bonus() -> Column:
 
 def signalled(items: DataFrame) -> DataFrame:
     """Items that label a date of issue and no other date, with similarity and place; texts are looked at once."""
-    texts = items.select(F.col("text").alias("label_text")).distinct().withColumn("s", label_signals("label_text")).where("s.issue and not s.negative")
+    texts = items.select(F.col("text").alias("label_text")).distinct().withColumn("s", issue_signals("label_text")).where("s.issue and not s.negative")
     return items.join(texts, F.col("text").eqNullSafe(F.col("label_text"))).select(*items.columns, F.col("s.similarity").alias("similarity"), F.col("s.at").alias("at"))
 
 
@@ -144,8 +151,9 @@ def backed_off(items: DataFrame, dates: DataFrame, labels: DataFrame, context: D
 
 
 def candidates(items: DataFrame, context: DataFrame, today: str) -> DataFrame:
-    """All candidates of all samples, with variant and order."""
-    dates, labels = dated(items, context, today), signalled(items)
+    """All candidates of all samples, with variant and order. Dates and labels are read by several methods, so they are written once."""
+    dates = written(dated(items, context, today).drop("vi", "n", "text", "end"), "dates")
+    labels = written(signalled(items).select("sample_id", "variant", "pos", *BOX, "similarity", "at"), "labels")
     found = [labelled(dates, labels, today), eliminated(dates, today), backed_off(items, dates, labels, context, today)]
     return reduce(DataFrame.unionByName, [f.select(*CANDIDATE) for f in found])
 
