@@ -78,12 +78,15 @@ def parsed(d, lines, *, strict=True, today="2026-01-01"):
     return f"select sample_id, variant, {status} as parse_status, {mode} as parse_mode, {', '.join(cols)} from (select *, {S.centuries(d, 'substr(b, 14, 6)', 'b')}, {S.centuries(d, 'substr(b, 22, 6)', 'e')} from (select *, {a} as a, {b} as b, coalesce({ok}, false) as ok from {lines}) as q) as q"
 
 
+#: Stray characters before the P< of line 1.
+SHIFT = "case when length(line_1) = 44 and left(line_1, 1) = 'P' then 0 when substr(line_1, 2, 2) = 'P<' then 1 when substr(line_1, 3, 2) = 'P<' then 2 else 0 end"
+
+
 @operator
 def prefix_repaired(d, lines):
     """Line 1 with one or two stray characters before its P< cut off, and the name of the repair."""
-    shift = "case when length(line_1) = 44 and left(line_1, 1) = 'P' then 0 when substr(line_1, 2, 2) = 'P<' then 1 when substr(line_1, 3, 2) = 'P<' then 2 else 0 end"
     return f"""select sample_id, variant, case when cut > 0 then rpad(left(substr(line_1, cut + 1), 44), 44, '<') else line_1 end as line_1, line_2,
-        case when cut > 0 then 'line1_prefix_trim_' || {d.text('cut')} end as prefix_repair from (select *, {shift} as cut from {lines}) as q"""
+        case when cut > 0 then 'line1_prefix_trim_' || {d.text('cut')} end as prefix_repair from (select *, {SHIFT} as cut from {lines}) as q"""
 
 
 @operator

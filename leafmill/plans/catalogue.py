@@ -16,7 +16,7 @@ PLANS: dict[str, Callable] = {**extraction.PLANS, **records.PLANS, **suite.PLANS
 
 def near_duplicate_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of samples of different suggested identities that look alike."""
-    return matching.near_duplicate_identities(query(records.risky)(spark, sf_dir))
+    return matching.near_duplicate_identities(query(records.identified)(spark, sf_dir))
 
 
 def fuzzy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

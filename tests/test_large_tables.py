@@ -89,3 +89,42 @@ def test_check_digits(spark):
         weights = relational.SPARK.weights("x", len(text))
         assert spark.createDataFrame([(text,)], "x string").selectExpr(f"{weights} % 10 as d").first()["d"] == want
         assert "named_struct" not in weights
+
+
+def test_near_duplicates_are_scored_by_falling_bounds(spark, tmp_path, monkeypatch):
+    import itertools
+    import random
+
+    from pyspark.sql import functions as F, types as T
+
+    from leafmill.operators import matching
+
+    pick, calls = random.Random(7), tmp_path / "calls"
+    worn = lambda x: pick.choice([x, x[1:], x[:-1], "X" + x, x.replace("E", "F"), "", None])
+    rows = []
+    for i in range(150):
+        ppn, name = pick.choice(["A12345678", "A12345687", "B99999999", "C5550123"]), pick.choice(["HOUSEHOLDABCD", "HOUSEHOLDABED", "NÚÑEZ", "DE LA FUENTE"])
+        rows.append((f"s{i:03}", f"i{pick.randrange(60)}", worn(ppn), worn(name), pick.choice(["1990-01-01", "1991-01-01", "", None]), pick.choice(["2030-01-01", "2031-01-01", None])))
+    want = []
+    for a, b in itertools.combinations(rows, 2):
+        same = lambda i: a[i] is not None and a[i] == b[i]
+        like = lambda i, x: a[i] is not None and b[i] is not None and similarity.ratio(a[i], b[i]) >= x
+        score = 3.0 * same(4) + 2.5 * same(5) + 2.5 * like(3, 0.9) + 3.0 * like(2, 0.85)
+        if a[1] != b[1] and score >= 6:
+            want.append((*a, *b, score))
+    want.sort(key=lambda r: (-r[12], r[0], r[6]))
+
+    @F.pandas_udf(T.DoubleType())
+    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
+        with open(calls, "a") as log:
+            log.write("x" * sum(x is not None and y is not None for x, y in zip(a, b)))
+        return pd.Series([None if x is None or y is None else similarity.ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    monkeypatch.setattr(matching, "gestalt", counted)
+    table = spark.createDataFrame(rows, "sample_id string, suggested_id string, passport_number string, surname string, date_of_birth string, date_of_expiry string")
+    for most in (len(want) + 1, 5):
+        calls.write_text("")
+        got = [tuple(r) for r in matching.near_duplicate_identities(table, most).collect()]
+        assert got == want[:most]
+        made = len(calls.read_text())
+    assert len(want) > 400 and 0 < made < len(want) / 2
