@@ -114,6 +114,10 @@ class Spark:
     def unnest(self, array: str, name: str) -> str:
         return f" lateral view explode({array}) as {name}"
 
+    def stacked(self, keys: str, rows: list[str], source: str) -> str:
+        """A row for each list of named columns, with the keys, of every row of the source; read in one pass, where a union would plan and read the source for each."""
+        return f"select {keys}, r.* from {source} lateral view inline(array({', '.join(f'struct({x})' for x in rows)})) r"
+
     def parts(self, x: str, by: str) -> str:
         return f"split({x}, '{by}')"
 
@@ -230,6 +234,9 @@ class Duck(Spark):
     def unnest(self, array, name):
         return f", unnest({array}) as u_{name}({name})"
 
+    def stacked(self, keys, rows, source):
+        return " union all ".join(f"select {keys}, {x} from {source}" for x in rows)
+
     def parts(self, x, by):
         return f"regexp_split_to_array({x}, '{by}')"
 

@@ -21,8 +21,9 @@ def coverage_summary(d, final):
 @operator
 def compared(d, final, truth):
     """One row per sample and field with a known truth: expected, predicted, correct."""
-    one = lambda f: f"select f.sample_id, t.identity_id, t.split, f.quality_status, '{f}' as field, {S.comparable(d, f, f't.{f}', 'evaluation')} as expected, {S.comparable(d, f, f'f.{f}', 'evaluation')} as predicted, f.{f}_source as source, f.{f}_quality as quality from {final} as f join {truth} as t on f.sample_id = t.sample_id"
-    return f"select *, coalesce(predicted = expected, false) as correct from ({' union all '.join(one(f) for f in CORE)}) as q where coalesce(expected, '') <> ''"
+    one = lambda f: f"'{f}' as field, {S.comparable(d, f, f't.{f}', 'evaluation')} as expected, {S.comparable(d, f, f'f.{f}', 'evaluation')} as predicted, f.{f}_source as source, f.{f}_quality as quality"
+    rows = d.stacked("f.sample_id, t.identity_id, t.split, f.quality_status", [one(f) for f in CORE], f"{final} as f join {truth} as t on f.sample_id = t.sample_id")
+    return f"select *, coalesce(predicted = expected, false) as correct from ({rows}) as q where coalesce(expected, '') <> ''"
 
 
 @operator

@@ -55,11 +55,11 @@ def variants(d, sample: str) -> str:
 def viz_rows(d, sample: str) -> str:
     """Fields read from the page: sample_id, field, value, score, agreement; some missing, some wrong."""
     def one(field: str, value: str, i: int) -> str:
-        return f"""select sample_id, '{field}' as field, case when (k * 13 + v * 5 + {i}) % 11 = 0 then null when (k * 7 + v + {i}) % 13 = 0 then 'X' || {value} else {value} end as value,
-            {d.num(4)} + cast((k * 3 + v + {i}) % 60 as double) / 10 as score, cast((k + v + {i}) % 3 + 1 as bigint) as agreement from {sample}"""
+        return f"""'{field}' as field, case when (k * 13 + v * 5 + {i}) % 11 = 0 then null when (k * 7 + v + {i}) % 13 = 0 then 'X' || {value} else {value} end as value,
+            {d.num(4)} + cast((k * 3 + v + {i}) % 60 as double) / 10 as score, cast((k + v + {i}) % 3 + 1 as bigint) as agreement"""
 
     fields = {"passport_number": "ppn", "surname": "surname", "given_names": "given", "nationality": "issuer", "date_of_birth": d.iso("birth"), "sex": "replace(sex, '<', 'X')", "date_of_expiry": d.iso("expiry")}
-    return " union all ".join(one(f, v, i) for i, (f, v) in enumerate(fields.items()))
+    return d.stacked("sample_id", [one(f, v, i) for i, (f, v) in enumerate(fields.items())], sample)
 
 
 def page_items(d, sample: str) -> str:
@@ -69,9 +69,9 @@ def page_items(d, sample: str) -> str:
     def one(i: int, row: tuple) -> str:
         field, kind, text, x1, y1, x2 = row
         shift = f"cast((k * {i + 3} + v * 5) % 9 as double)"
-        return f"select sample_id, cast({i} as bigint) as pos, '{field}' as field, '{kind}' as kind, {text} as text, {d.num(x1)} + {shift} as x1, {d.num(y1)} + {shift} as y1, {d.num(x2)} + {shift} as x2, {d.num(y1 + 20)} + {shift} as y2, {d.num(0.5)} + cast((k + v + {i}) % 50 as double) / 100 as confidence from {sample}"
+        return f"cast({i} as bigint) as pos, '{field}' as field, '{kind}' as kind, {text} as text, {d.num(x1)} + {shift} as x1, {d.num(y1)} + {shift} as y1, {d.num(x2)} + {shift} as x2, {d.num(y1 + 20)} + {shift} as y2, {d.num(0.5)} + cast((k + v + {i}) % 50 as double) / 100 as confidence"
 
-    return " union all ".join(one(i, r) for i, r in enumerate(rows))
+    return d.stacked("sample_id", [one(i, r) for i, r in enumerate(rows)], sample)
 
 
 def month_name(x: str) -> str:

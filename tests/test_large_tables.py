@@ -4,8 +4,10 @@ import pandas as pd
 import pyarrow as pa
 
 from leafmill.functions import mining, similarity
+from leafmill.functions.dialect import DUCK
+from leafmill.operators import evaluation
 from leafmill.operators.matching import FIELD_LABELS
-from leafmill.plans import pages, relational
+from leafmill.plans import pages, records, relational, synth
 
 TEXTS = ["Surname", "Surnane", "Glven nannes", "HOUSEHOLDBFC", "Passport No. A12345678", "date of issue", "DATE OF ISHUE", "Date d'émission / Date of issue", "x", "", None, "nom", "of", "Sexe M", "12/03/2015", "Ausstellungsdatum"]
 
@@ -128,3 +130,20 @@ def test_near_duplicates_are_scored_by_falling_bounds(spark, tmp_path, monkeypat
         assert got == want[:most]
         made = len(calls.read_text())
     assert len(want) > 400 and 0 < made < len(want) / 2
+
+
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def test_rows_are_stacked_in_one_pass(spark):
+    got = relational.SPARK.stacked("id", ["'a' as name, id + 1 as n", "'b' as name, cast(null as bigint) as n"], "range(2)")
+    assert rows_of(spark.sql(got)) == [(0, "a", 1), (0, "b", None), (1, "a", 2), (1, "b", None)]
+    for text in (synth.viz_rows(relational.SPARK, "sample"), synth.page_items(relational.SPARK, "sample"), evaluation.compared.text(relational.SPARK, "final", "truth")):
+        assert "union" not in text and relational.uses("sample", text) + relational.uses("final", text) == 1
+
+
+def test_audit_and_review_do_without_assessments():
+    for name in ("review_bundle",):
+        assert all("review_reasons" not in text for _, text in relational.needed(records.PLANS[name](relational.SPARK), set())), name
+    assert "quality_score" in dict(records.PLANS["review_bundle"](DUCK))["assessed"]
