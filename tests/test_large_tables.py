@@ -5,7 +5,8 @@ import pyarrow as pa
 
 from leafmill.functions import mining, similarity
 from leafmill.functions.dialect import DUCK
-from leafmill.operators import evaluation
+from leafmill.operators import audit, evaluation
+from leafmill.operators.fusion import CORE
 from leafmill.operators.matching import FIELD_LABELS
 from leafmill.plans import pages, records, relational, synth
 
@@ -143,7 +144,27 @@ def test_rows_are_stacked_in_one_pass(spark):
         assert "union" not in text and relational.uses("sample", text) + relational.uses("final", text) == 1
 
 
+def test_flags_of_one_pass_are_those_of_the_union(spark):
+    import duckdb
+
+    base = ["A1234567", "DOE", "ANN", "UTO", "1990-03-04", "F", "2030-01-02", "2020-01-02"]
+    edit = lambda **x: [x.get(f, v) for f, v in zip(CORE, base)]
+    truth = [("a", "i1", edit()), ("b", "i1", edit(surname="DÖE", sex=" ")), ("b", "i1", edit(surname="DÖE")), ("c", None, edit(surname=None)), ("d", None, edit(given_names="bob  x")), ("e", "i2", edit(date_of_birth="2031-01-01", date_of_issue="2027-01-01")), ("f", "i3", edit(date_of_expiry="2020-01-03")),
+             ("g", "i4", edit(date_of_expiry="1980-01-01")), ("h", "i5", edit(date_of_issue="04/03/1990")), (None, "i6", edit(passport_number="")), ("unknown", "i7", edit(date_of_issue="1990-03-04"))]
+    final = [("a", edit(date_of_birth="1990-04-03")), ("a", edit(surname="doe")), ("b", edit(nationality="XXX")), ("c", edit()), ("d", edit(given_names="BOB X", date_of_expiry=None)), ("e", edit()), ("f", edit(date_of_issue="2020-02-01")), ("g", edit()), (None, edit()), ("h", edit())]
+    columns = ", ".join(f"{f} string" for f in CORE)
+    tables = {"truth": spark.createDataFrame([(s, i, *x) for s, i, x in truth], f"sample_id string, identity_id string, {columns}"), "final": spark.createDataFrame([(s, *x) for s, x in final], f"sample_id string, {columns}")}
+    got = audit.truth_flags(tables["truth"], tables["final"])
+    con = duckdb.connect()
+    for name, table in tables.items():
+        con.register(name, table.toArrow())
+    want = con.execute(audit.truth_flags.text(DUCK, "truth", "final")).fetchall()
+    assert rows_of(got) == sorted(want, key=repr) and len({r[2] for r in want}) == 11
+    text = audit.truth_flags.text(relational.SPARK, "truth", "final")
+    assert relational.uses("truth", text) == relational.uses("final", text) == 1
+
+
 def test_audit_and_review_do_without_assessments():
-    for name in ("review_bundle",):
+    for name in ("review_bundle", "gt_audit_flags"):
         assert all("review_reasons" not in text for _, text in relational.needed(records.PLANS[name](relational.SPARK), set())), name
     assert "quality_score" in dict(records.PLANS["review_bundle"](DUCK))["assessed"]
